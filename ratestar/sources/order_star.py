@@ -17,6 +17,21 @@ from ratestar.schema import BEHAVIORAL, DIABETES, HIGHER, LOWER, TABLES
 from ratestar.sources.star import Star, Where
 
 
+# Declared so that a read needs no job of its own to find the schema.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def _fips(key: str) -> Column:
     return zero_padded(F.col(key) + 1000, 5)
 
@@ -50,7 +65,7 @@ class OrderStar(Star):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _read(self, name: str, needed: set[str], where: Where) -> DataFrame:
         build = {
