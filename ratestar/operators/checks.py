@@ -48,8 +48,7 @@ def orphan_keys(star: Star) -> DataFrame:
         columns = [e.key for e in edges]
         label = F.create_map(*[F.lit(x) for e in edges for x in (e.key, e.id)])
         return (star.table(left, columns).unpivot([], columns, "column_name", "key")
-                .groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
-                .select(label[F.col("column_name")].alias("edge"), "key", "rows"))
+                .groupBy(label[F.col("column_name")].alias("edge"), "key").agg(F.count(F.lit(1)).alias("rows")))
 
     def known(right: str) -> DataFrame:
         edges = [e for e in EDGES.values() if e.right == right]

@@ -25,9 +25,13 @@ def _sorted_by(by: Sequence[str], key: str, descending: bool, ties: Sequence[str
     return [*[F.col(c).asc_nulls_first() for c in by], first, *[F.col(c).asc_nulls_first() for c in ties]]
 
 
-def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows with ``_place``, their 1-based place in the total order, and ``_total``."""
-    rows = cut_lineage(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()))
+def _sorted_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """All rows in order, with ``_row``: the sort partition and the place in it."""
+    return cut_lineage(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """``_place``, the 1-based place in the total order, and ``_total`` for sorted rows."""
     block = F.shiftright("_row", ROWS_BITS)
     sizes = rows.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,14 +55,14 @@ def _match(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFra
 
 def _with_ties(df: DataFrame, by: Sequence[str], key: str, descending: bool) -> DataFrame:
     """Rows with ``_rank`` (ties share the first place) and ``_size`` of the group."""
-    rows = _placed(df, _sorted_by(by, key, descending, ()))
-    ties = rows.groupBy(*by, key).agg(
+    rows = _sorted_rows(df, _sorted_by(by, key, descending, ()))
+    ties = _placed(rows).groupBy(*by, key).agg(
         F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_size"))
     if by:
         groups = ties.groupBy(*by).agg(F.min("_first").alias("_start"), F.sum("_n").alias("_size"))
         ties = _match(ties.drop("_size"), groups, by).withColumn("_first", F.col("_first") - F.col("_start") + 1)
     ranks = ties.select(*by, key, F.col("_first").alias("_rank"), "_size")
-    return _match(rows.drop("_place", "_total"), ranks, [*by, key])
+    return _match(rows.drop("_row"), ranks, [*by, key])
 
 
 def _in_group(rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -93,14 +97,14 @@ def dense_rank(df: DataFrame, by: Sequence[str], key: str, name: str, descending
 def row_number(df: DataFrame, by: Sequence[str], key: str, name: str, descending: bool = True,
                ties: Sequence[str] = ()) -> DataFrame:
     """ROW_NUMBER within ``by``; give ``ties`` columns that make the order total."""
-    rows = _in_group(_placed(df, _sorted_by(by, key, descending, ties)), by)
+    rows = _in_group(_placed(_sorted_rows(df, _sorted_by(by, key, descending, ties))), by)
     return rows.withColumn(name, F.col("_place").cast("int")).drop("_place", "_total")
 
 
 def ntile(df: DataFrame, tiles: int, by: Sequence[str], key: str, name: str, descending: bool = False,
           ties: Sequence[str] = ()) -> DataFrame:
     """NTILE within ``by``; the first groups take one row more when sizes differ."""
-    rows = _in_group(_placed(df, _sorted_by(by, key, descending, ties)), by)
+    rows = _in_group(_placed(_sorted_rows(df, _sorted_by(by, key, descending, ties))), by)
     parts = (rows.withColumn("_long", F.col("_total") % tiles)
              .withColumn("_short_size", F.expr(f"_total div {tiles}"))
              .withColumn("_long_rows", F.col("_long") * (F.col("_short_size") + 1)))

@@ -13,6 +13,8 @@ SETTINGS = {
     # left outer with the fact on the left, which is the side that may be split.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files go when the frames that read them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -142,15 +142,24 @@ class OrderStar(Star):
             "data_source": _choose(n % 3, "Admin", "Hybrid", "ECDS"),
         }
 
+    def _owners(self, with_customer: bool) -> DataFrame:
+        """Orders, with their customer if wanted.
+
+        Events join this as a whole: the customer is looked up once per order,
+        and line items are shuffled by order only, not by customer again.
+        """
+        orders = self.raw("orders")
+        if not with_customer:
+            return orders
+        return orders.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+
     def _events(self, needed, where):
         df = self.raw("lineitem")
         year = where.get("measurement_year")
         if isinstance(year, int):
             df = df.filter(_day_range("l_shipdate", year))
         if needed & {"member_id", "county_fips"}:
-            df = df.join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        if "county_fips" in needed:
-            df = df.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+            df = df.join(self._owners("county_fips" in needed), F.col("l_orderkey") == F.col("o_orderkey"), "left")
         if "measure_id" in needed:
             df = df.join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         eligible = F.col("l_linenumber") < 7
@@ -170,10 +179,7 @@ class OrderStar(Star):
         }
 
     def _enrollment(self, needed, where):
-        df = self.raw("orders")
-        if needed & {"aid_category", "county_fips"}:
-            df = df.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        return df, {
+        return self._owners(bool(needed & {"aid_category", "county_fips"})), {
             "snapshot_month": month_start(F.col("o_orderdate").cast("date")),
             "member_id": _member("o_custkey"),
             "aid_category": F.col("c_mktsegment"),
