@@ -8,15 +8,11 @@ changes the number of events.
 
 from __future__ import annotations
 
-import datetime as dt
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from ratestar.functions.snippets import month_start, zero_padded
 from ratestar.schema import BEHAVIORAL, DIABETES, HIGHER, LOWER, TABLES
 from ratestar.sources.star import Star, Where
 
-
 # Declared so that a read needs no job of its own to find the schema.
 RAW_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -32,30 +28,112 @@ RAW_SCHEMAS = {
 }
 
 
-def _fips(key: str) -> Column:
-    return zero_padded(F.col(key) + 1000, 5)
-
-
-def _member(key: str) -> Column:
-    return F.concat(F.lit("MBR"), zero_padded(F.col(key), 7))
-
-
-def _npi(key: Column) -> Column:
-    return (key + F.lit(1_000_000_000)).cast("string")
-
-
-def _choose(index: Column, *values: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _codes(*values: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-
-def _day_range(column: str, year: int) -> Column:
-    """The year of a timestamp as a plain range, which Parquet statistics can prune."""
-    return (F.col(column) >= F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")) & (
-        F.col(column) < F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz"))
+def _padded(number: str, width: int) -> str:
+    """Zero-padded digits; longer numbers stay whole, so keys stay distinct."""
+    digits = f"CAST({number} AS STRING)"
+    return f"lpad({digits}, greatest({width}, length({digits})), '0')"
+
+
+def _fips(key: str) -> str:
+    return _padded(f"{key} + 1000", 5)
+
+
+def _member(key: str) -> str:
+    return f"concat('MBR', {_padded(key, 7)})"
+
+
+def _npi(key: str) -> str:
+    return f"CAST({key} + 1000000000 AS STRING)"
+
+
+def _choose(index: str, *values: str) -> str:
+    return f"array({', '.join(repr(v) for v in values)})[CAST({index} AS INT)]"
+
+
+# Star columns as SQL over the joined raw tables.
+PROJECTIONS = {
+    "dim_county": {
+        "county_fips": _fips("n_nationkey"),
+        "county_name": "n_name",
+        "region": "r_name",
+        "urban_rural_class": _choose("n_nationkey % 4", "Metropolitan", "Micropolitan", "Rural", "Frontier"),
+        "state_code": "concat('S', n_nationkey % 10)",
+    },
+    "dim_provider": {
+        "provider_npi": _npi("s_suppkey"),
+        "provider_name": "concat('Provider ', s_suppkey % 90)",
+        "provider_type": _choose("s_suppkey % 4", "PCP", "Specialist", "FQHC", "Hospital"),
+        "specialty_code": "concat('T', s_suppkey % 8)",
+        "county_fips": _fips("s_nationkey"),
+        "accepting_medicaid": "s_suppkey % 20 < 17",
+    },
+    "dim_member": {
+        "member_id": _member("c_custkey"),
+        "date_of_birth": "date_add(DATE '1945-01-01', CAST(c_custkey * 37 % 28000 AS INT))",
+        "gender": "CASE WHEN c_custkey % 50 = 0 THEN 'Other' WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END",
+        "race_ethnicity": "concat('R', c_custkey % 7)",
+        "county_fips": _fips("c_nationkey"),
+        "zip_code": "CAST(c_custkey % 90000 + 10000 AS STRING)",
+        "aid_category": "c_mktsegment",
+        "smi_flag": "c_custkey % 25 < 2",
+        "chronic_condition_flags": """CASE c_custkey % 5 WHEN 0 THEN array() WHEN 1 THEN array('Diabetes')
+            WHEN 2 THEN array('Diabetes', 'Hypertension') WHEN 3 THEN array('Asthma', 'Depression', 'Obesity') END""",
+        "enrollment_start_dt": "date_add(DATE '1994-01-01', CAST(c_custkey % 365 AS INT))",
+        "enrollment_end_dt":
+            "CASE WHEN c_custkey % 10 >= 7 THEN date_add(DATE '2000-01-01', CAST(c_custkey % 600 AS INT)) END",
+    },
+    "dim_measure": {
+        "measure_id": "p_brand",
+        "measure_name": "concat('Measure ', n)",
+        "measure_category": _choose("n % 5", DIABETES, "Preventive", BEHAVIORAL, "Respiratory", "Utilization"),
+        "reporting_standard": _choose("n % 3", "HEDIS", "CMS Adult Core Set", "CMS Child Core Set"),
+        "numerator_definition": "NULL",
+        "denominator_definition": "NULL",
+        "exclusion_definition": "NULL",
+        "age_range": "NULL",
+        "measurement_year": "2000",
+        "reporting_direction": f"CASE WHEN n % 9 = 0 THEN '{LOWER}' ELSE '{HIGHER}' END",
+        "regulatory_threshold": "n % 4 * 3 + 60",
+        "high_priority_flag": "n % 3 <> 0",
+        "star_rating_flag": "n % 2 = 0",
+        "data_source": _choose("n % 3", "Admin", "Hybrid", "ECDS"),
+    },
+    "fact_quality_events": {
+        "event_id": "l_orderkey * 10 + l_linenumber",
+        "member_id": _member("o_custkey"),
+        "measure_id": "p_brand",
+        "measurement_year": "year(l_shipdate)",
+        "quarter": "quarter(l_shipdate)",
+        "in_denominator": "l_linenumber < 7",
+        "in_numerator": "l_linenumber < 7 AND l_quantity <= 32",
+        "exclusion_applied": "CASE WHEN l_quantity <> 50 THEN l_linenumber < 7 AND l_discount >= 0.095D END",
+        "service_date": "l_shipdate",
+        "provider_npi": _npi("l_suppkey"),
+        "data_source": "CASE WHEN l_linestatus = 'F' THEN 'Admin' ELSE 'EHR' END",
+        "county_fips": _fips("c_nationkey"),
+    },
+    "fact_enrollment": {
+        "snapshot_month": "trunc(CAST(o_orderdate AS DATE), 'month')",
+        "member_id": _member("o_custkey"),
+        "aid_category": "c_mktsegment",
+        "county_fips": _fips("c_nationkey"),
+        "plan_id": "o_orderpriority",
+        "is_active": "o_orderkey % 10 <> 0",
+    },
+    "fact_claims": {
+        "claim_id": f"concat('CLM', {_padded('o_orderkey', 8)})",
+        "member_id": _member("o_custkey"),
+        "provider_npi": _npi("o_orderkey % 100"),
+        "service_date": "o_orderdate",
+        "claim_type": "CASE o_orderstatus WHEN 'F' THEN 'IP' WHEN 'O' THEN 'OP' WHEN 'P' THEN 'Prof' END",
+        "dx_codes": """CASE o_orderkey % 4 WHEN 0 THEN array('E11.9') WHEN 1 THEN array('I10', 'E11.9')
+            WHEN 2 THEN array('J45.20', 'I10', 'Z23') ELSE array() END""",
+        "proc_codes": "CASE o_orderkey % 3 WHEN 0 THEN array('99213') WHEN 1 THEN array('99214', '83036') END",
+        "revenue_code": _padded("o_orderkey % 10 * 10 + 100", 4),
+        "paid_amount": "o_totalprice",
+        "measurement_year": "year(o_orderdate)",
+    },
+}
 
 
 class OrderStar(Star):
@@ -68,81 +146,27 @@ class OrderStar(Star):
         return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _read(self, name: str, needed: set[str], where: Where) -> DataFrame:
-        build = {
-            "dim_county": self._county, "dim_provider": self._provider, "dim_member": self._member_table,
-            "dim_measure": self._measure, "fact_quality_events": self._events,
-            "fact_enrollment": self._enrollment, "fact_claims": self._claims,
-        }[name]
-        df, projections = build(needed, where)
-        return df.select(*[projections[f.name].cast(f.dataType).alias(f.name)
-                           for f in TABLES[name].columns if f.name in needed])
-
-    def _county(self, needed, where):
-        df = self.raw("nation")
-        if "region" in needed:
-            df = df.join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        return df, {
-            "county_fips": _fips("n_nationkey"),
-            "county_name": F.col("n_name"),
-            "region": F.col("r_name"),
-            "urban_rural_class": _choose(F.col("n_nationkey") % 4, "Metropolitan", "Micropolitan", "Rural", "Frontier"),
-            "state_code": F.concat(F.lit("S"), (F.col("n_nationkey") % 10).cast("string")),
-        }
-
-    def _provider(self, needed, where):
-        key = F.col("s_suppkey")
-        return self.raw("supplier"), {
-            "provider_npi": _npi(key),
-            "provider_name": F.concat(F.lit("Provider "), (key % 90).cast("string")),
-            "provider_type": _choose(key % 4, "PCP", "Specialist", "FQHC", "Hospital"),
-            "specialty_code": F.concat(F.lit("T"), (key % 8).cast("string")),
-            "county_fips": _fips("s_nationkey"),
-            "accepting_medicaid": key % 20 < 17,
-        }
-
-    def _member_table(self, needed, where):
-        key = F.col("c_custkey")
-        start = F.date_add(F.lit(dt.date(1994, 1, 1)), (key % 365).cast("int"))
-        end = F.date_add(F.lit(dt.date(2000, 1, 1)), (key % 600).cast("int"))
-        return self.raw("customer"), {
-            "member_id": _member("c_custkey"),
-            "date_of_birth": F.date_add(F.lit(dt.date(1945, 1, 1)), ((key * 37) % 28000).cast("int")),
-            "gender": F.when(key % 50 == 0, "Other").when(key % 2 == 0, "F").otherwise("M"),
-            "race_ethnicity": F.concat(F.lit("R"), (key % 7).cast("string")),
-            "county_fips": _fips("c_nationkey"),
-            "zip_code": (key % 90000 + 10000).cast("string"),
-            "aid_category": F.col("c_mktsegment"),
-            "smi_flag": key % 25 < 2,
-            "chronic_condition_flags": F.when(key % 5 == 0, _codes())
-            .when(key % 5 == 1, _codes("Diabetes"))
-            .when(key % 5 == 2, _codes("Diabetes", "Hypertension"))
-            .when(key % 5 == 3, _codes("Asthma", "Depression", "Obesity")),
-            "enrollment_start_dt": start,
-            "enrollment_end_dt": F.when(key % 10 >= 7, end),
-        }
-
-    def _measure(self, needed, where):
+        rows = {
+            "dim_county": self._counties, "dim_provider": lambda *_: self.raw("supplier"),
+            "dim_member": lambda *_: self.raw("customer"), "dim_measure": self._measures,
+            "fact_quality_events": self._line_items, "fact_claims": self._claimed_orders,
+            "fact_enrollment": lambda needed, _: self._owned_orders(bool(needed & {"aid_category", "county_fips"})),
+        }[name](needed, where)
+        return rows.selectExpr(*[
+            f"CAST({PROJECTIONS[name][f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in TABLES[name].columns if f.name in needed])
+
+    def _counties(self, needed: set[str], where: Where) -> DataFrame:
+        nations = self.raw("nation")
+        if "region" not in needed:
+            return nations
+        return nations.join(self.raw("region"), F.expr("n_regionkey = r_regionkey"), "left")
+
+    def _measures(self, needed: set[str], where: Where) -> DataFrame:
         brands = self.raw("part").select("p_brand").distinct()
-        n = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
-        nothing = F.lit(None)
-        return brands, {
-            "measure_id": F.col("p_brand"),
-            "measure_name": F.concat(F.lit("Measure "), n.cast("string")),
-            "measure_category": _choose(n % 5, DIABETES, "Preventive", BEHAVIORAL, "Respiratory", "Utilization"),
-            "reporting_standard": _choose(n % 3, "HEDIS", "CMS Adult Core Set", "CMS Child Core Set"),
-            "numerator_definition": nothing,
-            "denominator_definition": nothing,
-            "exclusion_definition": nothing,
-            "age_range": nothing,
-            "measurement_year": F.lit(2000),
-            "reporting_direction": F.when(n % 9 == 0, LOWER).otherwise(HIGHER),
-            "regulatory_threshold": n % 4 * 3 + 60,
-            "high_priority_flag": n % 3 != 0,
-            "star_rating_flag": n % 2 == 0,
-            "data_source": _choose(n % 3, "Admin", "Hybrid", "ECDS"),
-        }
-
-    def _owners(self, with_customer: bool) -> DataFrame:
+        return brands.selectExpr("p_brand", r"CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT) AS n")
+
+    def _owned_orders(self, with_customer: bool) -> DataFrame:
         """Orders, with their customer if wanted.
 
         Events join this as a whole: the customer is looked up once per order,
@@ -151,60 +175,23 @@ class OrderStar(Star):
         orders = self.raw("orders")
         if not with_customer:
             return orders
-        return orders.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        return orders.join(self.raw("customer"), F.expr("o_custkey = c_custkey"), "left")
 
-    def _events(self, needed, where):
-        df = self.raw("lineitem")
-        year = where.get("measurement_year")
-        if isinstance(year, int):
-            df = df.filter(_day_range("l_shipdate", year))
+    def _line_items(self, needed: set[str], where: Where) -> DataFrame:
+        rows = _within_year(self.raw("lineitem"), "l_shipdate", where)
         if needed & {"member_id", "county_fips"}:
-            df = df.join(self._owners("county_fips" in needed), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            rows = rows.join(self._owned_orders("county_fips" in needed), F.expr("l_orderkey = o_orderkey"), "left")
         if "measure_id" in needed:
-            df = df.join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        eligible = F.col("l_linenumber") < 7
-        return df, {
-            "event_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-            "member_id": _member("o_custkey"),
-            "measure_id": F.col("p_brand"),
-            "measurement_year": F.year("l_shipdate"),
-            "quarter": F.quarter("l_shipdate"),
-            "in_denominator": eligible,
-            "in_numerator": eligible & (F.col("l_quantity") <= 32),
-            "exclusion_applied": F.when(F.col("l_quantity") != 50, eligible & (F.col("l_discount") >= 0.095)),
-            "service_date": F.col("l_shipdate"),
-            "provider_npi": _npi(F.col("l_suppkey")),
-            "data_source": F.when(F.col("l_linestatus") == "F", "Admin").otherwise("EHR"),
-            "county_fips": _fips("c_nationkey"),
-        }
-
-    def _enrollment(self, needed, where):
-        return self._owners(bool(needed & {"aid_category", "county_fips"})), {
-            "snapshot_month": month_start(F.col("o_orderdate").cast("date")),
-            "member_id": _member("o_custkey"),
-            "aid_category": F.col("c_mktsegment"),
-            "county_fips": _fips("c_nationkey"),
-            "plan_id": F.col("o_orderpriority"),
-            "is_active": F.col("o_orderkey") % 10 != 0,
-        }
-
-    def _claims(self, needed, where):
-        df = self.raw("orders")
-        year = where.get("measurement_year")
-        if isinstance(year, int):
-            df = df.filter(_day_range("o_orderdate", year))
-        key = F.col("o_orderkey")
-        return df, {
-            "claim_id": F.concat(F.lit("CLM"), zero_padded(key, 8)),
-            "member_id": _member("o_custkey"),
-            "provider_npi": _npi(key % 100),
-            "service_date": F.col("o_orderdate"),
-            "claim_type": F.when(F.col("o_orderstatus") == "F", "IP")
-            .when(F.col("o_orderstatus") == "O", "OP").when(F.col("o_orderstatus") == "P", "Prof"),
-            "dx_codes": F.when(key % 4 == 0, _codes("E11.9")).when(key % 4 == 1, _codes("I10", "E11.9"))
-            .when(key % 4 == 2, _codes("J45.20", "I10", "Z23")).otherwise(_codes()),
-            "proc_codes": F.when(key % 3 == 0, _codes("99213")).when(key % 3 == 1, _codes("99214", "83036")),
-            "revenue_code": zero_padded(key % 10 * 10 + 100, 4),
-            "paid_amount": F.col("o_totalprice"),
-            "measurement_year": F.year("o_orderdate"),
-        }
+            rows = rows.join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+        return rows
+
+    def _claimed_orders(self, needed: set[str], where: Where) -> DataFrame:
+        return _within_year(self.raw("orders"), "o_orderdate", where)
+
+
+def _within_year(rows: DataFrame, column: str, where: Where) -> DataFrame:
+    """A filter on one year as a plain range too, which Parquet statistics can prune."""
+    year = where.get("measurement_year")
+    if not isinstance(year, int):
+        return rows
+    return rows.filter(f"{column} >= TIMESTAMP_NTZ '{year}-01-01' AND {column} < TIMESTAMP_NTZ '{year + 1}-01-01'")
