@@ -37,13 +37,13 @@ def build_session(master: str | None = None, name: str = "ratestar", **settings:
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder shared by all executors, as named in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("name a folder shared by all executors in spark.checkpoint.dir")
     folder = tempfile.mkdtemp(prefix="ratestar-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 

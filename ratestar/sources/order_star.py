@@ -190,8 +190,10 @@ class OrderStar(Star):
 
 
 def _within_year(rows: DataFrame, column: str, where: Where) -> DataFrame:
-    """A filter on one year as a plain range too, which Parquet statistics can prune."""
-    year = where.get("measurement_year")
-    if not isinstance(year, int):
+    """A filter on years as a plain range too, which Parquet statistics can prune."""
+    wanted = where.get("measurement_year")
+    years = [wanted] if isinstance(wanted, int) else list(wanted) if isinstance(wanted, (list, tuple, set, range)) else []
+    if not years:
         return rows
-    return rows.filter(f"{column} >= TIMESTAMP_NTZ '{year}-01-01' AND {column} < TIMESTAMP_NTZ '{year + 1}-01-01'")
+    first, end = min(years), max(years) + 1
+    return rows.filter(f"{column} >= TIMESTAMP_NTZ '{first:04d}-01-01' AND {column} < TIMESTAMP_NTZ '{end:04d}-01-01'")

@@ -38,30 +38,29 @@ def create_table(spark: SparkSession, database: str, name: str, replace: bool =
               f"COMMENT {_literal(table.comment)} TBLPROPERTIES ('quality' = 'gold')")
 
 
-def full_refresh(df: DataFrame, database: str, name: str) -> None:
-    """Replace a managed table by ``df``; facts are partitioned by their period.
-
-    Rows are brought together by period first, or every task would write a
-    file into every partition. Adaptive execution splits a period that is
-    large over several tasks, so one hot period does not end in one file.
+def _write(df: DataFrame, database: str, name: str, mode: str) -> None:
+    """Rows of a partitioned table are brought together by period first, or
+    every task would write a file into every partition. Adaptive execution
+    spreads a large period over several tasks, so a hot one is not one file.
     """
     table = TABLES[name]
     rows = _conformed(df, table)
     if table.partition_by:
         rows = rows.hint("rebalance", *[F.col(c) for c in table.partition_by])
-    writer = rows.write.mode("overwrite").format("parquet").option("comment", table.comment)
+    writer = rows.write.mode(mode).format("parquet").option("comment", table.comment)
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     writer.saveAsTable(f"{database}.{name}")
 
 
+def full_refresh(df: DataFrame, database: str, name: str) -> None:
+    """Replace a managed table by ``df``; facts are partitioned by their period."""
+    _write(df, database, name, "overwrite")
+
+
 def append(df: DataFrame, database: str, name: str) -> None:
     """Add rows; columns are matched by name and cast to the declared types."""
-    table = TABLES[name]
-    writer = _conformed(df, table).write.mode("append").format("parquet")
-    if table.partition_by:
-        writer = writer.partitionBy(*table.partition_by)
-    writer.saveAsTable(f"{database}.{name}")
+    _write(df, database, name, "append")
 
 
 def load_star(star: Star, spark: SparkSession, database: str) -> None:

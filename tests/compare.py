@@ -4,6 +4,8 @@ import duckdb
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE"}
+
 
 def connect(folder):
     con = duckdb.connect()
@@ -25,6 +27,10 @@ def differences(con, df, sql):
     if sorted(columns) != names:
         return [f"columns {names} against {sorted(columns)}"]
     order = [columns.index(n) for n in names]
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    wrong = {n: (t, types[n]) for n, t in df.dtypes if TYPES[t] != types[n]}
+    if wrong:
+        return [f"types {wrong}"]
     theirs = sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=_sortable)
     if len(ours) != len(theirs):
         return [f"{len(ours)} rows against {len(theirs)}"]
