@@ -42,8 +42,9 @@ class Count:
     condition: Callable[[], Column] | None = None
     comment: str = ""
 
-    def partial(self) -> Column:
-        return F.count(F.lit(1) if self.condition is None else F.when(self.condition(), 1))
+    def partial(self, rows: Column | None = None) -> Column:
+        condition = F.lit(True) if self.condition is None else self.condition()
+        return F.count(F.when(condition if rows is None else rows & condition, 1))
 
     def merge(self, partial: Column) -> Column:
         return F.coalesce(F.sum(partial), F.lit(0))
@@ -61,8 +62,8 @@ class Sum:
     def inputs(self) -> tuple[str, ...]:
         return (self.column,)
 
-    def partial(self) -> Column:
-        return F.sum(self.column)
+    def partial(self, rows: Column | None = None) -> Column:
+        return F.sum(F.col(self.column) if rows is None else F.when(rows, F.col(self.column)))
 
     def merge(self, partial: Column) -> Column:
         return F.sum(partial)
@@ -105,6 +106,38 @@ class Derived:
 Measure = Count | Sum | Distinct | Attribute | Derived
 
 
+def _reduced(fact: DataFrame, grain: Sequence[str], counted: Sequence[str],
+             additive: Sequence[Count | Sum]) -> DataFrame:
+    """Partial sums per ``grain`` and counted value.
+
+    A single counted column joins the grain. Of several, each row gives one row
+    per column (``_counts``, ``_value``) and one for the sums, so that a group
+    holds members plus providers and not each pair of them.
+    """
+    if len(counted) <= 1:
+        keys = list(dict.fromkeys([*grain, *counted]))
+        partials = [m.partial().alias(f"_{m.name}") for m in additive]
+        return fact.groupBy(*keys).agg(*partials) if partials else fact.select(*keys).distinct()
+    kept = list(dict.fromkeys([*grain, *[c for m in additive for c in m.inputs]]))
+    values = [F.col(c).cast("string").alias(f"_{c}") for c in counted]
+    spread = fact.select(*kept, F.lit(None).cast("string").alias("_"), *values).unpivot(
+        kept, ["_", *[f"_{c}" for c in counted]], "_counts", "_value")
+    sums = F.col("_counts") == "_"
+    return spread.groupBy(*grain, "_counts", "_value").agg(
+        F.count(F.lit(1)).alias("_rows"), *[m.partial(sums).alias(f"_{m.name}") for m in additive])
+
+
+def _counted_apart(rows: DataFrame, by: Sequence[Column], merged: Sequence[Column], additive: Sequence[Count | Sum],
+                   attributes: Sequence[Attribute], distinct: Sequence[Distinct]) -> DataFrame:
+    """Groups of joined ``_counts``, ``_value`` rows: each value once, then one row per group."""
+    names = [F.col("source._counts").alias("_counts"), F.col("source._value").alias("_value")]
+    values = rows.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_keys"), *merged)
+    return values.groupBy(*values.columns[:len(by)]).agg(
+        *[m.merge(F.col(m.name)).alias(m.name) for m in additive],
+        *[F.max(a.name).alias(a.name) for a in attributes],
+        *[F.count(F.when(F.col("_counts") == f"_{m.column}", F.col("_value"))).alias(m.name) for m in distinct])
+
+
 @dataclass(frozen=True)
 class MetricView:
     """A fact table, the dimension tables it joins, and what can be asked of them.
@@ -147,10 +180,10 @@ class MetricView:
         keys = {t: edge_between(self.source, t).key for t in joined}
 
         own = [d.column for d in groups if d.table == self.source]
-        counted = [m.column for m in distinct]
-        grain = list(dict.fromkeys([*own, *keys.values(), *counted]))
+        counted = list(dict.fromkeys(m.column for m in distinct))
         inputs = [c for m in additive for c in m.inputs]
-        fact = star.table(self.source, [*grain, *inputs] or [TABLES[self.source].columns.names[0]],
+        fact_columns = [*own, *keys.values(), *counted, *inputs] or [TABLES[self.source].columns.names[0]]
+        fact = star.table(self.source, fact_columns,
                           {d.column: wanted for d, wanted in filters if d.table == self.source})
 
         if not joined:
@@ -159,25 +192,28 @@ class MetricView:
             result = fact.groupBy(*[F.col(d.column).alias(d.name) for d in groups]).agg(*merged)
             return result.select(*dimensions, *self._values(chosen))
 
-        partials = [m.partial().alias(f"_{m.name}") for m in additive]
-        reduced = fact.groupBy(*grain).agg(*partials) if partials else fact.select(*grain).distinct()
-        rows = reduced.alias("source")
+        grain = list(dict.fromkeys([*own, *keys.values()]))
+        rows = _reduced(fact, grain, counted, additive).alias("source")
         for table in joined:
-            wanted = [d.column for d in [*groups, *(d for d, _ in filters)] if d.table == table]
+            wanted = [d.column for d in [*groups, *[d for d, _ in filters]] if d.table == table]
             wanted += [a.column for a in attributes if a.table == table]
             other = star.table(table, [keys[table], *wanted]).alias(table)
             rows = rows.join(other, F.col(f"source.{keys[table]}") == F.col(f"{table}.{keys[table]}"), how)
         for dimension, wanted in filters:
             if dimension.table != self.source:
-                rows = rows.filter(matches(F.col(f"{dimension.table}.{dimension.column}"), wanted))
+                rows = rows.filter(matches(self._qualified(dimension), wanted))
 
-        # The reduced rows hold each distinct value once per key; where every
-        # key is grouped by or is that value itself, plain counting is exact.
-        once = len(set(counted)) == 1 and set(keys.values()) <= {*own, *counted}
+        by = [self._qualified(d).alias(d.name) for d in groups]
         merged = [m.merge(F.col(f"source._{m.name}")).alias(m.name) for m in additive]
-        merged += [(F.count if once else F.countDistinct)(F.col(f"source.{m.column}")).alias(m.name) for m in distinct]
-        merged += [F.max(f"{a.table}.{a.column}").alias(a.name) for a in attributes]
-        result = rows.groupBy(*[self._qualified(d).alias(d.name) for d in groups]).agg(*merged)
+        merged += [F.max(self._qualified(a)).alias(a.name) for a in attributes]
+        if len(counted) > 1:
+            result = _counted_apart(rows, by, merged, additive, attributes, distinct)
+        else:
+            # The reduced rows hold each value once per key; where every key is
+            # grouped by or is that value itself, plain counting is exact.
+            count = F.count if set(keys.values()) <= {*own, *counted} else F.countDistinct
+            merged += [count(F.col(f"source.{m.column}")).alias(m.name) for m in distinct]
+            result = rows.groupBy(*by).agg(*merged)
         return result.select(*dimensions, *self._values(chosen))
 
     def check_keys(self, star: Star) -> None:
@@ -192,9 +228,9 @@ class MetricView:
         """Comment of every dimension and measure."""
         return {item.name: item.comment for item in (*self.dimensions, *self.measures)}
 
-    def _qualified(self, dimension: Dimension) -> Column:
-        table = "source" if dimension.table == self.source else dimension.table
-        return F.col(f"{table}.{dimension.column}")
+    def _qualified(self, item: Dimension | Attribute) -> Column:
+        table = "source" if item.table == self.source else item.table
+        return F.col(f"{table}.{item.column}")
 
     def _dimension(self, name: str) -> Dimension:
         for dimension in self.dimensions:

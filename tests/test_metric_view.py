@@ -159,3 +159,21 @@ def test_enrollment_and_claims_measures(spark):
     assert rows_of(ENROLLMENT.query(star, [], ["enrolled_members", "active_member_months", "snapshots"])) == [(2, 1, 3)]
     got = CLAIMS.query(star, ["claim_type"], ["claim_count", "total_paid", "avg_paid", "unique_members", "cost_per_member"])
     assert rows_of(got) == [("IP", 3, Decimal("20.03"), Decimal("10.02"), 2, Decimal("10.02")), ("OP", 1, None, None, 1, None)]
+
+
+def test_two_distinct_counts_with_a_join(spark):
+    star = star_of(
+        spark, dim_measure=[measure(), measure("M2", "Two"), measure("M3", "Three", measure_category="Other")],
+        fact_quality_events=[event(), event("M2"), event("M2", member_id="B", provider_npi=None),
+                             event("M3", member_id="B", provider_npi="P2", met=False), event("M9", member_id="C")])
+    asked = ["numerator", "total_events", "distinct_members", "distinct_providers"]
+    got = QUALITY.query(star, ["measure_category"], asked)
+    assert rows_of(got) == [("Diabetes", 3, 3, 2, 1), ("Other", 0, 1, 1, 1), (None, 1, 1, 1, 1)]
+    got = QUALITY.query(star, ["measure_category"], ["distinct_members", "distinct_providers"], how="inner")
+    assert rows_of(got) == [("Diabetes", 2, 1), ("Other", 1, 1)]
+    assert rows_of(QUALITY.query(star, [], asked, where={"measure_category": "Other"})) == [(0, 1, 1, 1)]
+
+
+def test_two_distinct_counts_do_not_reduce_to_pairs(star):
+    plan = plan_of(QUALITY.query(star, ["measure_name"], ["distinct_members", "distinct_providers"]))
+    assert plan.count("Expand") == 1 and "count(distinct" not in plan
