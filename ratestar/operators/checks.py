@@ -23,7 +23,12 @@ def row_counts(star: Star, tables: Iterable[str] = tuple(TABLES)) -> DataFrame:
 
 
 def null_counts(star: Star, tables: Iterable[str] = tuple(TABLES)) -> DataFrame:
-    """``table_name, column_name, null_count`` of each required column, one scan per table."""
+    """``table_name, column_name, null_count`` of each required column, one scan per table.
+
+    For catalog tables with NOT NULL marks that ``sinks`` did not write, give a
+    ``ParquetStar`` over their files: Spark takes the marks of a catalog table
+    for granted and would not look.
+    """
     def one(name: str) -> DataFrame:
         required = TABLES[name].required
         counts = star.table(name, required).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])

@@ -83,8 +83,8 @@ STAR = {
         FROM orders""",
 }
 
-NUM = "COUNT(CASE WHEN e.in_numerator AND NOT e.exclusion_applied THEN 1 END)"
-DEN = "COUNT(CASE WHEN e.in_denominator AND NOT e.exclusion_applied THEN 1 END)"
+NUM = "COUNT(*) FILTER (WHERE e.in_numerator AND NOT e.exclusion_applied)"
+DEN = "COUNT(*) FILTER (WHERE e.in_denominator AND NOT e.exclusion_applied)"
 
 
 def rate(n: str = NUM, d: str = DEN) -> str:
@@ -129,11 +129,11 @@ COLUMN = {
 }
 MEASURE = {
     "denominator": DEN, "numerator": NUM, "total_events": "COUNT(*)",
-    "exclusion_count": "COUNT(CASE WHEN e.exclusion_applied THEN 1 END)",
+    "exclusion_count": "COUNT(*) FILTER (WHERE e.exclusion_applied)",
     "performance_rate": rate(), "gap_to_threshold": gap("any_value(m.regulatory_threshold)"),
     "distinct_members": "COUNT(DISTINCT e.member_id)", "distinct_providers": "COUNT(DISTINCT e.provider_npi)",
     "enrolled_members": "COUNT(DISTINCT e.member_id)",
-    "active_member_months": "CAST(SUM(CASE WHEN e.is_active THEN 1 ELSE 0 END) AS BIGINT)", "snapshots": "COUNT(*)",
+    "active_member_months": "COUNT(*) FILTER (WHERE e.is_active)", "snapshots": "COUNT(*)",
     "claim_count": "COUNT(*)", "total_paid": f"CAST({PAID} AS DOUBLE)", "unique_members": MEMBERS,
     "avg_paid": f"CAST(({MICRO} + 5000) // 10000 AS DOUBLE) / 100",
     "cost_per_member": f"CAST((2 * {CENTS} + {MEMBERS}) // (2 * {MEMBERS}) AS DOUBLE) / 100",
@@ -168,7 +168,6 @@ PROVIDER_ALL = view("quality", PROVIDER, ["performance_rate"], "e.measurement_ye
                     f", {raw()} AS raw_rate")
 ORDERED = "provider_name ASC NULLS FIRST, provider_type ASC NULLS FIRST"
 MONTHS = "SELECT snapshot_month, COUNT(DISTINCT member_id) AS monthly_active_members FROM fact_enrollment WHERE is_active GROUP BY ALL"
-ACTIVE = "COUNT(DISTINCT CASE WHEN is_active THEN member_id END)"
 
 
 def tiles(n: int, name: str) -> str:
@@ -309,10 +308,10 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
     "p02_all_of_derived_table": f"SELECT * FROM ({view('claims', ['claim_type'], ['claim_count', 'total_paid'])}) WHERE claim_count > 0",
     "p03_nested_derived_table": f"SELECT aid_category, MAX(unique_members) AS most_members FROM "
                                 f"({view('claims', ['aid_category', 'claim_type'], ['unique_members'])}) GROUP BY 1",
-    "p04_ordinals": ENROLLED,
+    "p04_ordinals": "SELECT aid_category, plan_id, COUNT(*) AS snapshots, COUNT(*) FILTER (WHERE is_active) AS active_snapshots "
+                    "FROM fact_enrollment GROUP BY ALL",
     "p05_case_without_else": f"SELECT data_source, {NUM} AS met FROM fact_quality_events e GROUP BY data_source",
-    "p06_case_with_else": "SELECT plan_id, CAST(SUM(CASE WHEN is_active THEN 1 ELSE 0 END) AS BIGINT) AS active, "
-                          "CAST(SUM(CASE WHEN is_active THEN 0 ELSE 1 END) AS BIGINT) AS inactive "
+    "p06_case_with_else": "SELECT plan_id, COUNT(*) FILTER (WHERE is_active) AS active, COUNT(*) FILTER (WHERE NOT is_active) AS inactive "
                           "FROM fact_enrollment GROUP BY plan_id",
     "f01_year": view("quality", ["measure_id"], ["total_events"], "e.measurement_year = 2000"),
     "f02_year_and_quarter": view("quality", ["measure_id"], ["total_events"], 'e.measurement_year = 2000 AND e."quarter" = 1'),

@@ -138,10 +138,8 @@ def _(star):
 def _(star):
     star.create_views(star.spark)
     return star.spark.sql("""
-        SELECT c.county_name, c.state_code, COUNT(DISTINCT e.member_id) AS enrolled_members,
-               SUM(CASE WHEN e.is_active THEN 1 ELSE 0 END) AS active_member_months
-        FROM fact_enrollment e JOIN dim_county c ON e.county_fips = c.county_fips
-        GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2""")
+        SELECT aid_category, plan_id, count(*) AS snapshots, count_if(is_active) AS active_snapshots
+        FROM fact_enrollment GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2""")
 
 
 @query("p05_case_without_else")
@@ -350,14 +348,13 @@ def _(star):
 def _(star):
     star.create_views(star.spark)
     return star.spark.sql(f"""
-        SELECT m.measure_category, m.measure_name,
-               RANK() OVER (PARTITION BY m.measure_category ORDER BY
-                   COUNT(CASE WHEN q.in_numerator AND NOT q.exclusion_applied THEN 1 END) * 100.0
-                   / NULLIF(COUNT(CASE WHEN q.in_denominator AND NOT q.exclusion_applied THEN 1 END), 0) DESC
-               ) AS category_rank
-        FROM fact_quality_events q JOIN dim_measure m ON q.measure_id = m.measure_id
-        WHERE q.measurement_year = {YEAR}
-        GROUP BY m.measure_category, m.measure_name""")
+        SELECT measure_category, measure_name, rank() OVER (
+                   PARTITION BY measure_category
+                   ORDER BY count_if(in_numerator AND NOT exclusion_applied) * 100.0
+                            / nullif(count_if(in_denominator AND NOT exclusion_applied), 0) DESC) AS category_rank
+        FROM fact_quality_events AS events JOIN dim_measure USING (measure_id)
+        WHERE events.measurement_year = {YEAR}
+        GROUP BY measure_category, measure_name""")
 
 
 # Sorting and limits

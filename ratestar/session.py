@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Checkpoint files go when the frames that read them are gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 

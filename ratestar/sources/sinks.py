@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratestar.schema import TABLES, Table
 from ratestar.sources.star import Star
@@ -14,8 +14,20 @@ def create_schema(spark: SparkSession, database: str, location: str | None = Non
 
 
 def _conformed(df: DataFrame, table: Table) -> DataFrame:
-    """Declared columns in order, cast to the declared types, with their comments."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in table.columns])
+    """Declared columns in order and type. Required columns that are empty and
+    amounts that do not fit raise.
+
+    Parquet tables record NOT NULL without enforcing it, while Spark plans
+    queries as if it held, so it is enforced here, where rows are written.
+    """
+    def column(field) -> Column:
+        value = F.col(field.name).cast(field.dataType)
+        if not field.nullable:
+            missing = F.raise_error(F.lit(f"{table.name}.{field.name} is required")).cast(field.dataType)
+            value = F.coalesce(value, missing)
+        return value.alias(field.name)
+
+    return df.select(*[column(f) for f in table.columns])
 
 
 def _literal(text: str) -> str:
@@ -23,10 +35,7 @@ def _literal(text: str) -> str:
 
 
 def create_table(spark: SparkSession, database: str, name: str, replace: bool = True) -> None:
-    """An empty typed table with comments, NOT NULL marks and properties.
-
-    Parquet tables record NOT NULL but do not enforce it; run ``null_counts``.
-    """
+    """An empty typed table with comments, NOT NULL marks and properties."""
     table = TABLES[name]
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
@@ -38,29 +47,32 @@ def create_table(spark: SparkSession, database: str, name: str, replace: bool =
               f"COMMENT {_literal(table.comment)} TBLPROPERTIES ('quality' = 'gold')")
 
 
-def _write(df: DataFrame, database: str, name: str, mode: str) -> None:
-    """Rows of a partitioned table are brought together by period first, or
-    every task would write a file into every partition. Adaptive execution
-    spreads a large period over several tasks, so a hot one is not one file.
+def _write(df: DataFrame, database: str, name: str, overwrite: bool) -> None:
+    """Insert into the typed table, creating it if need be.
+
+    The table keeps its declared types, comments and properties. Rows of a
+    partitioned table are brought together by period first, or every task
+    would write a file into every partition; adaptive execution spreads a
+    large period over several tasks, so a hot one is not one file.
     """
     table = TABLES[name]
+    create_table(df.sparkSession, database, name, replace=False)
     rows = _conformed(df, table)
     if table.partition_by:
         rows = rows.hint("rebalance", *[F.col(c) for c in table.partition_by])
-    writer = rows.write.mode(mode).format("parquet").option("comment", table.comment)
-    if table.partition_by:
-        writer = writer.partitionBy(*table.partition_by)
-    writer.saveAsTable(f"{database}.{name}")
+    plain = [c for c in rows.columns if c not in table.partition_by]
+    rows.select(*plain, *table.partition_by).write.option("partitionOverwriteMode", "static").insertInto(
+        f"{database}.{name}", overwrite=overwrite)
 
 
 def full_refresh(df: DataFrame, database: str, name: str) -> None:
-    """Replace a managed table by ``df``; facts are partitioned by their period."""
-    _write(df, database, name, "overwrite")
+    """Replace all rows of a table; facts are partitioned by their period."""
+    _write(df, database, name, overwrite=True)
 
 
 def append(df: DataFrame, database: str, name: str) -> None:
     """Add rows; columns are matched by name and cast to the declared types."""
-    _write(df, database, name, "append")
+    _write(df, database, name, overwrite=False)
 
 
 def load_star(star: Star, spark: SparkSession, database: str) -> None:
