@@ -8,6 +8,8 @@ A query names dimensions, measures and filters and gets a DataFrame:
   joins. Each map task combines its rows first, so a join key that holds a
   third of all rows shuffles as a handful of partial sums and is one row per
   group when it reaches the join. The dimension tables need not be small;
+* with distinct counts over small reference tables, whose size is checked, the
+  tables are broadcast instead and the fact is shuffled once;
 * measures are sums of partial sums, so every total is exact.
 """
 
@@ -192,26 +194,31 @@ class MetricView:
             result = fact.groupBy(*[F.col(d.column).alias(d.name) for d in groups]).agg(*merged)
             return result.select(*dimensions, *self._values(chosen))
 
+        # Distinct values cannot be reduced further than to themselves, so with
+        # small dimension tables only they are grouped just once, after the join.
+        direct = bool(counted) and all(star.fits_broadcast(t) for t in joined)
         grain = list(dict.fromkeys([*own, *keys.values()]))
-        rows = _reduced(fact, grain, counted, additive).alias("source")
+        rows = (fact if direct else _reduced(fact, grain, counted, additive)).alias("source")
         for table in joined:
             wanted = [d.column for d in [*groups, *[d for d, _ in filters]] if d.table == table]
             wanted += [a.column for a in attributes if a.table == table]
-            other = star.table(table, [keys[table], *wanted]).alias(table)
+            other = star.table(table, [keys[table], *wanted])
+            other = (F.broadcast(other) if direct else other).alias(table)
             rows = rows.join(other, F.col(f"source.{keys[table]}") == F.col(f"{table}.{keys[table]}"), how)
         for dimension, wanted in filters:
             if dimension.table != self.source:
                 rows = rows.filter(matches(self._qualified(dimension), wanted))
 
         by = [self._qualified(d).alias(d.name) for d in groups]
-        merged = [m.merge(F.col(f"source._{m.name}")).alias(m.name) for m in additive]
+        merged = [(m.partial() if direct else m.merge(F.col(f"source._{m.name}"))).alias(m.name) for m in additive]
         merged += [F.max(self._qualified(a)).alias(a.name) for a in attributes]
-        if len(counted) > 1:
+        if len(counted) > 1 and not direct:
             result = _counted_apart(rows, by, merged, additive, attributes, distinct)
         else:
             # The reduced rows hold each value once per key; where every key is
             # grouped by or is that value itself, plain counting is exact.
-            count = F.count if set(keys.values()) <= {*own, *counted} else F.countDistinct
+            once = not direct and set(keys.values()) <= {*own, *counted}
+            count = F.count if once else F.countDistinct
             merged += [count(F.col(f"source.{m.column}")).alias(m.name) for m in distinct]
             result = rows.groupBy(*by).agg(*merged)
         return result.select(*dimensions, *self._values(chosen))

@@ -17,13 +17,18 @@ def _column(name: str, dtype: T.DataType, comment: str, required: bool = False)
 
 @dataclass(frozen=True)
 class Table:
-    """One star table. ``keys`` are the column sets that must be unique."""
+    """One star table. ``keys`` are the column sets that must be unique.
+
+    ``reference`` tables list what exists in the world (counties, measures)
+    and do not grow with the facts, so asking for their size is cheap.
+    """
 
     name: str
     comment: str
     columns: T.StructType
     keys: tuple[tuple[str, ...], ...]
     partition_by: tuple[str, ...] = ()
+    reference: bool = False
 
     @property
     def required(self) -> list[str]:
@@ -37,7 +42,7 @@ TABLES: dict[str, Table] = {t.name: t for t in (
         _column("region", STRING, "Reporting region"),
         _column("urban_rural_class", STRING, "Settlement class of the county"),
         _column("state_code", STRING, "State of the county", True),
-    ]), (("county_fips",),)),
+    ]), (("county_fips",),), reference=True),
     Table("dim_provider", "Providers that render services.", T.StructType([
         _column("provider_npi", STRING, "Ten-digit provider number", True),
         _column("provider_name", STRING, "Display name; not unique", True),
@@ -74,7 +79,7 @@ TABLES: dict[str, Table] = {t.name: t for t in (
         _column("high_priority_flag", BOOL, "Watched closely"),
         _column("star_rating_flag", BOOL, "Part of the plan rating"),
         _column("data_source", STRING, "How the measure is collected"),
-    ]), (("measure_id",),)),
+    ]), (("measure_id",),), reference=True),
     Table("fact_quality_events", "One measured event of a member.", T.StructType([
         _column("event_id", LONG, "Event number", True),
         _column("member_id", STRING, "Member measured", True),

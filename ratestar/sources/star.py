@@ -33,6 +33,9 @@ def narrow(df: DataFrame, columns: Iterable[str] | None, where: Where | None) ->
     return df if columns is None else df.select(*columns)
 
 
+BROADCAST_ROWS = 100_000  # rows of a few short columns: some megabytes
+
+
 class Star:
     """Base of all sources; subclasses supply ``_read``."""
 
@@ -50,6 +53,18 @@ class Star:
     def _read(self, name: str, needed: set[str], where: Where) -> DataFrame:
         raise NotImplementedError
 
+    def fits_broadcast(self, name: str) -> bool:
+        """Whether a reference table is small enough to send to every executor, by counting.
+
+        Tables that grow with the data are not counted; the answer is kept.
+        """
+        sizes = self.__dict__.setdefault("_fits", {})
+        if name not in sizes:
+            table = TABLES[name]
+            sizes[name] = table.reference and (
+                self.table(name, table.keys[0]).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS)
+        return sizes[name]
+
     def join(self, left: str, right: str, left_columns: Iterable[str], right_columns: Iterable[str],
              how: str = "inner") -> DataFrame:
         """Rows of one registered many-to-one edge.

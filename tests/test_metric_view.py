@@ -175,5 +175,40 @@ def test_two_distinct_counts_with_a_join(spark):
 
 
 def test_two_distinct_counts_do_not_reduce_to_pairs(star):
-    plan = plan_of(QUALITY.query(star, ["measure_name"], ["distinct_members", "distinct_providers"]))
+    plan = plan_of(QUALITY.query(star, ["provider_type"], ["distinct_members", "distinct_providers"]))
     assert plan.count("Expand") == 1 and "count(distinct" not in plan
+
+
+def exchanges(plan):
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_distinct_counts_over_small_tables_shuffle_the_fact_once(star, monkeypatch):
+    asked = (star, ["region", "measurement_year"], ["distinct_members", "denominator", "distinct_providers"])
+    direct = QUALITY.query(*asked)
+    monkeypatch.setitem(star._fits, "dim_county", False)
+    reduced = QUALITY.query(*asked)
+    assert "Expand" in plan_of(direct) and "partial_count" in plan_of(direct)
+    assert exchanges(plan_of(direct)) == exchanges(plan_of(reduced)) - 1
+    assert rows_of(direct) == rows_of(reduced)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_both_ways_agree_on_unmatched_and_empty_values(spark, how):
+    def star():
+        return star_of(spark, dim_measure=[measure(), measure("M2", "Two")], fact_quality_events=[
+            event(), event("M2", member_id=None), event("M9", provider_npi=None), event(None), event(excluded=None)])
+    asked = ["distinct_members", "distinct_providers", "total_events", "numerator", "gap_to_threshold"]
+    small, large = star(), star()
+    large._fits = {"dim_measure": False}
+    for dimensions in (["measure_name"], ["measure_id", "measure_name", "quarter"]):
+        for measures in (asked, asked[:1], asked[:1] + asked[2:]):
+            results = [rows_of(QUALITY.query(s, dimensions, measures, how=how)) for s in (small, large)]
+            assert results[0] == results[1]
+
+
+def test_only_small_reference_tables_are_broadcast(spark, monkeypatch):
+    star = star_of(spark, dim_measure=[measure(), measure("M2")], dim_provider=[provider()])
+    assert star.fits_broadcast("dim_measure") and not star.fits_broadcast("dim_provider")
+    monkeypatch.setattr("ratestar.sources.star.BROADCAST_ROWS", 1)
+    assert not star_of(spark, dim_measure=[measure(), measure("M2")]).fits_broadcast("dim_measure")
