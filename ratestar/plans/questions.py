@@ -238,3 +238,23 @@ def claims_with_code(star: Star, code: str) -> DataFrame:
     return (claims.filter(F.array_contains("dx_codes", code)).groupBy("claim_type").agg(
         F.count(F.lit(1)).alias("claim_count"), F.round(F.sum("paid_amount"), 2).alias("total_paid"))
         .orderBy("claim_type"))
+
+
+# Number, title and function of every question; arguments beyond the star are
+# the year and quarter that count as current, where a question needs them.
+CATALOG = {
+    "Q-01": ("Members enrolled per county", enrollment_by_county),
+    "Q-02": ("Measures in one quarter", quarter_metrics),
+    "Q-03": ("Measures likely to miss their threshold", measures_at_risk),
+    "Q-04": ("Measures year by year", years_compared),
+    "Q-05": ("Diabetes measures in one year", diabetes_performance),
+    "Q-06": ("Behavioral-health measures per quarter", behavioral_health_by_quarter),
+    "Q-07": ("Providers with the best rates", most_compliant_providers),
+    "Q-08": ("Active members per month and eligibility category", enrollment_by_aid_category),
+    "Q-09": ("Providers ranked within each measure", ranked_providers),
+    "Q-10": ("Change of each measure from quarter to quarter", quarter_over_quarter),
+    "Q-11": ("Providers in the lowest quarter", bottom_quartile_providers),
+    "Q-12": ("Enrollment added up, with a moving average", cumulative_enrollment),
+    "Q-13": ("Percentile of each county for diabetes measures", county_percentiles),
+    "Q-14": ("Claims cost per setting and eligibility category", claims_cost),
+}

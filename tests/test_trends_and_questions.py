@@ -121,3 +121,15 @@ def test_age_defaults_to_today(spark):
 def test_eligible_filter(spark, flags, expected):
     df = spark.createDataFrame([flags], "in_denominator boolean, exclusion_applied boolean")
     assert (df.filter(s.eligible_for_measure()).count() == 1) is expected
+
+
+def test_catalog_answers_every_question(star):
+    arguments = {"Q-02": (2000, 1), **{n: (2000,) for n in ("Q-03", "Q-05", "Q-07", "Q-09", "Q-11", "Q-13")}}
+    assert list(q.CATALOG) == [f"Q-{i:02d}" for i in range(1, 15)]
+    for number, (title, ask) in q.CATALOG.items():
+        assert title and not ask(star, *arguments.get(number, ())).isEmpty(), number
+
+
+def test_years_can_be_chosen(star):
+    years = {r.measurement_year for r in q.years_compared(star, [1999, 2000]).collect()}
+    assert years == {1999, 2000}
