@@ -195,8 +195,10 @@ class MetricView:
             return result.select(*dimensions, *self._values(chosen))
 
         # Distinct values cannot be reduced further than to themselves, so with
-        # small dimension tables only they are grouped just once, after the join.
-        direct = bool(counted) and all(star.fits_broadcast(t) for t in joined)
+        # small dimension tables only they are grouped just once, after the join
+        # (unless a joined column would hide one that a measure reads).
+        borrowed = {i.column for i in [*groups, *[d for d, _ in filters], *attributes] if i.table in joined}
+        direct = bool(counted) and not borrowed & set(inputs) and all(star.fits_broadcast(t) for t in joined)
         grain = list(dict.fromkeys([*own, *keys.values()]))
         rows = (fact if direct else _reduced(fact, grain, counted, additive)).alias("source")
         for table in joined:

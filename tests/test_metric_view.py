@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import event, measure, provider, rows_of, star_of
+from ratestar.operators.metric_view import Count, Dimension, Distinct, MetricView
 from ratestar.plans.views import CLAIMS, ENROLLMENT, QUALITY
 
 COUNTS = ["numerator", "denominator", "exclusion_count", "total_events"]
@@ -212,3 +213,13 @@ def test_only_small_reference_tables_are_broadcast(spark, monkeypatch):
     assert star.fits_broadcast("dim_measure") and not star.fits_broadcast("dim_provider")
     monkeypatch.setattr("ratestar.sources.star.BROADCAST_ROWS", 1)
     assert not star_of(spark, dim_measure=[measure(), measure("M2")]).fits_broadcast("dim_measure")
+
+
+def test_a_joined_column_may_share_its_name_with_one_a_measure_reads(spark):
+    view = MetricView(
+        "collected", "fact_quality_events", ("dim_measure",),
+        (Dimension("collection", "dim_measure", "data_source"),),
+        (Count("electronic", ("data_source",), lambda: F.col("data_source") == "EHR"), Distinct("members", "member_id")))
+    star = star_of(spark, dim_measure=[measure(data_source="Admin")],
+                   fact_quality_events=[event(data_source="EHR"), event(data_source="Hybrid")])
+    assert rows_of(view.query(star, ["collection"], ["electronic", "members"])) == [("Admin", 1, 1)]
