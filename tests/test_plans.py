@@ -58,3 +58,30 @@ def test_line_items_are_shuffled_by_order_and_part_only(spark, no_broadcast):
     assert plan.count("SortMergeJoin") == 3
     shuffles = [line for line in plan.splitlines() if "hashpartitioning(" in line]
     assert sum("o_custkey" in line or "c_custkey" in line for line in shuffles) == 2
+
+
+def test_a_hot_key_of_a_row_level_join_is_split(spark, no_broadcast):
+    from pyspark.sql import functions as F
+
+    from ratestar.sources.star import FrameStar
+
+    i = F.col("id")
+    claims = spark.range(0, 300_000, 1, 8).select(
+        i.cast("string").alias("claim_id"), F.when(i % 3 == 0, "hot").otherwise(i.cast("string")).alias("member_id"))
+    members = spark.range(-1, 300_000).select(
+        F.when(i < 0, "hot").otherwise(i.cast("string")).alias("member_id"), (i % 2).cast("string").alias("gender"))
+    star = FrameStar({"fact_claims": claims, "dim_member": members})
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        for how in ("inner", "left"):
+            joined = star.join("fact_claims", "dim_member", ["claim_id"], ["gender"], how=how).groupBy("gender").agg(
+                F.count("*").alias("n"), F.max("claim_id"))
+            assert sum(r.n for r in joined.collect()) == 300_000
+            assert "skew=true" in plan_of(joined)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
