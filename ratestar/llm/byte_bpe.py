@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ratestar.llm.package import ship
+
 #: Texts longer than so many characters are cut into pieces of about that length.
 PIECE_CHARS = 1 << 16
 
@@ -106,11 +108,12 @@ def _vocabulary(df: DataFrame, ranks_path: str, pattern: str) -> _Shared:
 
 
 def _map(df: DataFrame, drop: list[str], fields: list[T.StructField], rows: Callable[[pa.RecordBatch], list[pa.Array]]):
-    """df without the dropped columns and with the fields that rows() makes of each batch."""
-    keep = [f for f in df.schema if f.name not in drop]
-    clash = {f.name for f in keep} & {f.name for f in fields}
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
+    """df without the dropped columns and with the fields that rows() makes of each batch.
+
+    A column named like a new field gives way to it.
+    """
+    ship(df.sparkSession)
+    keep = [f for f in df.schema if f.name not in drop and f.name not in {new.name for new in fields}]
     names = [f.name for f in keep] + [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +128,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     """Adds the token ids of each whole text as an array of int.
 
     Null and empty texts have an empty array. Strings of special tokens are
-    ordinary text. Other columns stay; one named like ids_col raises ValueError.
+    ordinary text. Other columns stay; one named like ids_col is replaced.
     """
     vocabulary = _vocabulary(df, ranks_path, pattern)
 
@@ -157,8 +160,8 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "te
 
     The text gives way to n_tokens, ids_sha256 (ids as little-endian unsigned 32
     bit integers) and decoded_sha256 (decoded bytes). Null counts as empty. Other
-    columns stay, repeated rows too; a column with one of those names raises
-    ValueError. Empty tables give empty results.
+    columns stay, repeated rows too; columns with one of those names are
+    replaced. Empty tables give empty results.
     """
     vocabulary = _vocabulary(df, ranks_path, pattern)
 
