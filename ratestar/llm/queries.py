@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratestar.llm.byte_bpe import op10_byte_bpe
+from ratestar.llm.decontamination import OP9_SQL, op9_decontamination
 from ratestar.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op8_substring_dedup": OP8_SQL,
+    "op9_decontamination": OP9_SQL,
 }
