@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratestar.llm.byte_bpe import op10_byte_bpe
 from ratestar.llm.decontamination import OP9_SQL, op9_decontamination
+from ratestar.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from ratestar.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": OP2_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_decontamination": OP9_SQL,
 }
