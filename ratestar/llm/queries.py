@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratestar.llm.byte_bpe import op10_byte_bpe
 from ratestar.llm.decontamination import OP9_SQL, op9_decontamination
+from ratestar.llm.html_extract import op3_html_extract
 from ratestar.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from ratestar.llm.language_id import op4_language_id
 from ratestar.llm.substring_dedup import OP8_SQL, op8_substring_dedup
@@ -16,6 +17,7 @@ from ratestar.llm.toxicity import op1_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_html_extract": op3_html_extract,
     "op4_language_id": op4_language_id,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
