@@ -17,10 +17,11 @@ with equal sets form a class, represented by its smallest id.
    both, so that pairs across it meet as well.
 3. Candidates that meet are verified with their whole sets, and links become
    components. A group of documents that meet in an entry is never paired in
-   full: first all are compared with the smallest id; those that belong to its
-   component are settled. Then the rest are compared with ever more of the group,
-   as far as they are still in different components, until each pair is either
-   in one component or compared.
+   full. All are compared with one member, the pivot, which has the fewest
+   shingles of its own; most end in its component, and pairs of those are
+   settled. A pair with a member outside it can only link if the two differ from
+   the pivot in the same places, so such pairs are looked up by what they have in
+   common there, and verified (see `difference_entries`).
 """
 
 from __future__ import annotations
@@ -179,6 +180,51 @@ def _index(table: pa.Table, notes: pa.Table, width: int, buckets: int, percent:
                      "hashes": chunks.binary(out["hashes"]), "entries": pa.array(out["entries"], pa.list_(pa.int64()))})
 
 
+def difference_entries(
+    own: np.ndarray, unshared: int, pivot: np.ndarray, pivot_unshared: int, percent: int,
+) -> tuple[bool, int, np.ndarray, np.ndarray]:
+    """What a set's difference from its group's pivot says about its partners.
+
+    `own` and `pivot` are the sorted hashes of the shared shingles of both, next
+    to which they have so many unshared ones; the pivot has the fewest of its group.
+    Returns whether the two link, the size d of the difference, and the entries
+    of it by which the set is found, as any member and as a member that is not
+    linked to the pivot.
+
+    With P the pivot's shared shingles, d(x) = |x ^ P| and D(x, y) the largest
+    difference that two linked sets can have, |x ^ y| = d(x) + d(y) - 2c, where c
+    counts what their differences from P have in common. A link thus needs
+    c >= (d(x) + d(y) - D(x, y)) / 2. If x doesn't link to the pivot its d is so
+    large that c is at least 1: such a pair shares an element of both
+    differences. It is enough to index the first d - c + 1 elements in one order
+    (unshared shingles, which meet nobody, then the others).
+    """
+    n, m = len(own) + unshared, len(pivot) + pivot_unshared
+    added, missing = np.setdiff1d(own, pivot, assume_unique=True), np.setdiff1d(pivot, own, assume_unique=True)
+    common = len(own) - len(added)
+    linked = common * 100 >= (n + m - common) * percent
+    d = unshared + len(added) + len(missing)
+    order = np.concatenate([added, missing])
+    slack = 100 - percent
+    bound = -((m - n) * slack // (100 + percent))  # D(s, x) exceeds D(s, pivot) by no more
+    as_member = max(1, -((bound + pivot_unshared - d - 1) // 2))
+    largest = slack * (n + n * 100 // percent) // (100 + percent)
+    as_other = max(1, d - largest)
+    member = order[:max(0, d - as_member + 1 - unshared)]
+    other = np.empty(0, _U) if linked else order[:max(0, d - as_other + 1 - unshared)]
+    return linked, d, member, other
+
+
+def _differences(batches, percent: int):
+    for batch in batches:
+        rows = [difference_entries(np.frombuffer(y.as_py(), _U), uy.as_py(), np.frombuffer(x.as_py(), _U), ux.as_py(), percent)
+                for x, ux, y, uy in zip(batch.column("x"), batch.column("ua"), batch.column("y"), batch.column("ub"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), batch.column("nb"), batch.column("ub"), pa.array([bool(r[0]) for r in rows], pa.bool_()),
+             pa.array([r[1] for r in rows], pa.int64()), *(pa.array([r[i].view(np.int64) for r in rows], pa.list_(pa.int64())) for i in (2, 3))],
+            names=["pivot", "id", "n", "unshared", "linked", "d", "member", "other"])
+
+
 def _overlaps(batches):
     """Adds the number of common shingles of two sets of sorted hashes."""
     for batch in batches:
@@ -189,41 +235,44 @@ def _overlaps(batches):
             names=["a", "b", "na", "nb", "common"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("x")), "a")
-    with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("y")), "b")
-    return (with_b.select("a", "b", "na", "nb", "x", "y")
-            .mapInArrow(_overlaps, "a long, b long, na long, nb long, common long")
-            .where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b"))
-
-
-def _linked(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(id, comp) of all linked sets. entries: (entry, id, n)."""
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    least = entries.groupBy("entry").agg(F.min_by(F.struct("id", "n"), "id").alias("first"), F.count("*").alias("size")).where("size > 1")
-    # Entries that meet nobody go; the others know their smallest member.
-    met = cut_lineage(entries.join(least, "entry").select("entry", "id", "n", F.col("first.id").alias("main"), F.col("first.n").alias("n_main")))
-    pairs = (met.where("id <> main").select(F.col("main").alias("a"), F.col("id").alias("b"), F.col("n_main").alias("na"), F.col("n").alias("nb"))
-             .where(fits).select("a", "b").distinct())
-    links = cut_lineage(_verified(pairs, sets, percent))
-    # Ever larger parts of a group, chosen by a hash of the id: 1/64, 7/64, and the other 7/8.
-    part = F.pmod(F.xxhash64("id"), F.lit(64))
-    for chosen in (part == 0, (part > 0) & (part < 8), part >= 8):
-        comps = components(links)
-        of = comps.select("id", "comp")
-        labelled = (met.join(of, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-                    .join(of.select(F.col("id").alias("main"), F.col("comp").alias("main_comp")), "main", "left")
-                    .withColumn("main_comp", F.coalesce("main_comp", "main")))
-        rest = labelled.where("comp <> main_comp").select("entry", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        anchors = labelled.where(chosen & (F.col("id") != F.col("main"))).select(
-            "entry", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-        pairs = cut_lineage(rest.join(anchors, "entry").where((F.col("ca") != F.col("cb")) & fits)
-                            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        found = cut_lineage(_verified(pairs, sets, percent))
-        if not found.isEmpty():
-            links = links.unionAll(found)
-    return components(links)
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    unshared = (F.col("n") - F.octet_length("hashes") / 8).cast("long")
+    return (pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na"), unshared.alias("ua"), F.col("hashes").alias("x")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), unshared.alias("ub"), F.col("hashes").alias("y")), "b"))
+
+
+def _linked(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, comp) of all linked sets. entries: (entry, id, unshared)."""
+    pivots = (entries.groupBy("entry").agg(F.min(F.struct("unshared", "id")).alias("pivot"), F.count("*").alias("size"))
+              .where("size > 1").select("entry", F.col("pivot.id").alias("a")))
+    # Entries that meet nobody go; of the others each member is compared with the pivot, once for all its entries.
+    pairs = entries.join(pivots, "entry").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    compared = cut_lineage(
+        _with_sets(pairs, sets).select("a", "ua", "x", "b", "nb", "ub", "y")
+        .mapInArrow(lambda batches: _differences(batches, percent),
+                    "pivot long, id long, n long, unshared long, linked boolean, d long, member array<long>, other array<long>"))
+    links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    comps = cut_lineage(components(links))
+    # Members outside their pivot's component, against all members: those pairs that their differences don't rule out.
+    labelled = (compared.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+                .join(comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp")), "pivot", "left")
+                .withColumn("outside", F.col("comp") != F.coalesce("pivot_comp", "pivot")))
+
+    def side(rows: DataFrame, column: str, end: str) -> DataFrame:
+        return rows.select("pivot", F.explode(column).alias("element"), *[F.col(c).alias(c + end) for c in ("id", "n", "unshared", "d", "comp")])
+
+    largest = F.floor((F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent))
+    rest = side(labelled.where("outside AND NOT linked"), "other", "1")
+    found = rest.join(side(labelled, "member", "2"), ["pivot", "element"]).where(
+        (F.col("comp1") != F.col("comp2")) & (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
+        & (F.col("d1") + F.col("d2") - largest <= 2 * F.least(F.col("d1") - F.col("unshared1"), F.col("d2") - F.col("unshared2"))))
+    more = found.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
+    verified = cut_lineage(
+        _with_sets(more, sets).select("a", "b", "na", "nb", "x", "y").mapInArrow(_overlaps, "a long, b long, na long, nb long, common long")
+        .where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b"))
+    if verified.isEmpty():
+        return comps
+    return components(links.unionAll(verified))
 
 
 def jaccard_components(
@@ -278,7 +327,8 @@ def jaccard_components(
                .groupBy("bucket").applyInArrow(_count, _ANSWER))
     notes = answers.unionByName(reps, allowMissingColumns=True)
     sets = cut_lineage(dealt.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(index, _ENTRY))
-    linked = _linked(sets.select(F.explode("entries").alias("entry"), "id", "n"), sets.select("id", "n", "hashes"), percent)
+    unshared = (F.col("n") - F.octet_length("hashes") / 8).cast("long").alias("unshared")
+    linked = _linked(sets.select(F.explode("entries").alias("entry"), "id", unshared), sets.select("id", "n", "hashes"), percent)
     keyed = members.join(classes.select("s1", "s2", "n_shingles", F.col("rep.id").alias("class_id")), ["s1", "s2", "n_shingles"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("id"))
     return (keyed.withColumn("class_id", F.when(F.col("id").isNotNull(), own))
