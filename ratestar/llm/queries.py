@@ -11,14 +11,20 @@ from ratestar.llm.decontamination import OP9_SQL, op9_decontamination
 from ratestar.llm.html_extract import op3_html_extract
 from ratestar.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from ratestar.llm.language_id import op4_language_id
+from ratestar.llm.one_bit_search import OP5_SQL, op5_one_bit_search
 from ratestar.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 from ratestar.llm.toxicity import op1_toxicity
+from ratestar.llm.url_filter import OP6_SQL, op6_url_filter
+from ratestar.llm.warc_revisits import OP7_SQL, op7_warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_html_extract": op3_html_extract,
     "op4_language_id": op4_language_id,
+    "op5_one_bit_search": op5_one_bit_search,
+    "op6_url_filter": op6_url_filter,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
@@ -26,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,
+    "op5_one_bit_search": OP5_SQL,
+    "op6_url_filter": OP6_SQL,
+    "op7_warc_revisits": OP7_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_decontamination": OP9_SQL,
 }
