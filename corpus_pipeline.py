@@ -1,29 +1,95 @@
-"""A training corpus from the documents table in stages, each over all rows that the one before kept."""
+"""A training corpus from the documents table in five stages, each over all rows that the one before kept."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ratestar.llm import byte_bpe
+from ratestar.llm import byte_bpe, decontamination, jaccard_join, substring_dedup, toxicity
 from ratestar.session import checkpoint_folder
 
+#: Near-duplicates: shingles of so many words, Jaccard similarity in percent.
+SHINGLE, PERCENT = 5, 80
+#: Passages of so many words that an earlier document has too are removed.
+PASSAGE = 50
+
+
+def _documents(found: DataFrame, docs: DataFrame, text: str, changed: Column) -> DataFrame:
+    """The columns of documents with a new text; n_chars follows where it changed."""
+    columns = [F.col(text).alias(c) if c == "text" else
+               F.when(changed, F.length(text).cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+               for c in docs.columns]
+    return found.select(*columns)
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score under 0.5; learnt from the labels table."""
+    model = toxicity.learn_from_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    score = f"score_{uuid.uuid4().hex}"
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near-duplicates.
+
+    Of rows that repeat an id one stays, the smallest in the order of their
+    other columns. Rows without an id stay.
+    """
+    found = jaccard_join.jaccard_components(docs, width=SHINGLE, percent=PERCENT)
+    kept = found.where("doc_id = component_id").select("doc_id")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    one = (docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row"))
+           .select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns]))
+    return one.unionByName(docs.where("doc_id IS NULL"))
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; words in passages that a document with a smaller id has too are removed from the text."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = substring_dedup.remove_repeated_windows(docs, window=PASSAGE, carry=others, as_is=True)
+    return _documents(found, docs, "kept_text", F.col("n_removed") > 0)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; passages of the benchmark table are removed from the text."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=others, clean=True)
+    return _documents(found, docs, "clean_text", F.col("n_hit") > 0)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text with their number, and digests of the ids and of the bytes they decode to."""
+    return byte_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN, keep_ids=True)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("byte_bpe", lambda spark, docs, sf_dir: byte_bpe.op10_byte_bpe(spark, sf_dir, docs)),
+    ("toxicity", without_toxic),
+    ("near_duplicates", without_near_duplicates),
+    ("substring_dedup", without_repeated_passages),
+    ("decontamination", without_benchmark),
+    ("byte_bpe", tokens),
 ]
 
-#: Toxicity scores, like the ids of the tokenizer, are beyond SQL.
+#: Toxicity scores and token ids are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again as the next input."""
+    """All stages over documents; each result is written to the shared folder and read again as the next input.
+
+    The folder with the results goes when the application ends.
+    """
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES, 1):
-        path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}-{name}")
+        docs = spark.read.parquet(f"{folder}/{number}-{name}")
     return docs

@@ -124,6 +124,11 @@ def _map(df: DataFrame, drop: list[str], fields: list[T.StructField], rows: Call
     return df.mapInArrow(run, T.StructType(keep + fields))
 
 
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)))
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Adds the token ids of each whole text as an array of int.
 
@@ -134,10 +139,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
 
     def rows(batch: pa.RecordBatch) -> list[pa.Array]:
         codec = _codec(vocabulary)
-        ids = [codec.encode(text.as_py()) for text in batch.column(batch.schema.get_field_index(text_col))]
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        values = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
+        return [_lists([codec.encode(text.as_py()) for text in batch.column(batch.schema.get_field_index(text_col))])]
 
     return _map(df, [], [T.StructField(ids_col, T.ArrayType(T.IntegerType(), True))], rows)
 
@@ -155,28 +157,31 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", b
     return _map(df, [], [T.StructField(bytes_col, T.BinaryType())], rows)
 
 
-def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encodes each text and decodes its ids, with digests in place of the long values.
 
     The text gives way to n_tokens, ids_sha256 (ids as little-endian unsigned 32
-    bit integers) and decoded_sha256 (decoded bytes). Null counts as empty. Other
-    columns stay, repeated rows too; columns with one of those names are
-    replaced. Empty tables give empty results.
+    bit integers) and decoded_sha256 (decoded bytes), with keep_ids to the ids
+    too. Null counts as empty. Other columns stay, repeated rows too; columns
+    with one of those names are replaced. Empty tables give empty results.
     """
     vocabulary = _vocabulary(df, ranks_path, pattern)
 
     def rows(batch: pa.RecordBatch) -> list[pa.Array]:
         codec = _codec(vocabulary)
-        counts, ids_sha, bytes_sha = [], [], []
+        counts, ids_sha, bytes_sha, kept = [], [], [], []
         for text in batch.column(batch.schema.get_field_index(text_col)):
             ids = codec.encode(text.as_py())
             counts.append(len(ids))
             ids_sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
             bytes_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-        return [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string())]
+            if keep_ids:
+                kept.append(ids)
+        return [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string()), *[_lists(kept)] * keep_ids]
 
-    return _map(df, [text_col], [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                                 T.StructField("decoded_sha256", T.StringType())], rows)
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+              T.StructField("decoded_sha256", T.StringType()), *[T.StructField("ids", T.ArrayType(T.IntegerType()))] * keep_ids]
+    return _map(df, [text_col], fields, rows)
 
 
 def op10_byte_bpe(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
