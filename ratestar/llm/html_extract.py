@@ -87,7 +87,7 @@ class Block:
 
 def _own_weight(name: str, attributes: str, parent: _Element) -> float:
     weight = _ELEMENT_WEIGHT.get(name, 0.0)
-    if name == "header" and parent.in_article:
+    if name in ("header", "article", "main") and parent.in_article:
         weight = 0.0
     if name in ("p", "h1", "h2", "h3", "h4") and parent.name == name:
         weight = 0.0
