@@ -1,10 +1,19 @@
 """Ranks, n-tiles and percentiles of aggregated rows, without one task per group.
 
 A window with ``PARTITION BY measure`` (or none) puts all providers of a
-measure into one task. Here the rows are sorted over the whole cluster, and a
-row's place in its group follows from its place in the sort: the rows before
-its block, plus its place in the block, less the place where its group starts.
-The per-block counts are one row per sort partition, whatever the data.
+measure into one task. Here rows are sorted over the whole cluster, and a row's
+place in its group follows from its place in the sort: the rows before its
+block, plus its place in the block, less the place where its group starts. The
+per-block counts are one row per sort partition, whatever the data.
+
+Ranks sort only the distinct values of each group, with the number of rows that
+have them, so a value that most rows share is one row of the sort. The ranks are
+joined back under salted keys, which spread such a value over many tasks.
+
+Sorted rows are written to the checkpoint folder when a function is called, not
+when its result is used, as the bounds of a sort are sampled anew each time it
+runs; the files go when nothing reads them any more. Ranks read their input
+twice, so it must give the same values each time.
 
 NULL placement follows Spark: first when ascending, last when descending.
 """
@@ -18,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratestar.session import cut_lineage
 
 ROWS_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
+SALTS = 16  # parts of a hot key
 
 
 def _sorted_by(by: Sequence[str], key: str, descending: bool, ties: Sequence[str]) -> list[Column]:
@@ -25,48 +35,50 @@ def _sorted_by(by: Sequence[str], key: str, descending: bool, ties: Sequence[str
     return [*[F.col(c).asc_nulls_first() for c in by], first, *[F.col(c).asc_nulls_first() for c in ties]]
 
 
-def _sorted_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """All rows in order, with ``_row``: the sort partition and the place in it."""
-    return cut_lineage(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()))
-
-
-def _placed(rows: DataFrame) -> DataFrame:
-    """``_place``, the 1-based place in the total order, and ``_total`` for sorted rows."""
+def _placed(df: DataFrame, order: Sequence[Column], weight: Column) -> DataFrame:
+    """Rows in order with ``_place``, the 1-based place of their first unit of weight, and ``_total`` of all weights."""
+    rows = cut_lineage(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()))
     block = F.shiftright("_row", ROWS_BITS)
-    sizes = rows.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = rows.groupBy(block.alias("_block")).agg(F.sum(weight).alias("_n"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = sizes.select(
         "_block",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    place = F.col("_before") + F.col("_row").bitwiseAND((1 << ROWS_BITS) - 1) + 1
-    return (rows.withColumn("_block", block).join(F.broadcast(blocks), "_block")
-            .withColumn("_place", place).drop("_row", "_block", "_before"))
+    inside = Window.partitionBy("_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("_block", block)
+            .withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+            .join(F.broadcast(blocks), "_block")
+            .withColumn("_place", F.col("_before") + F.col("_inside") + 1).drop("_row", "_block", "_before", "_inside"))
 
 
 def _match(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``right``'s other columns to ``left``; NULL keys match NULL keys."""
-    condition = F.lit(True)
+    """Add ``right``'s other columns to ``left``; NULL keys match NULL keys, hot ones are split."""
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(SALTS)).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    condition = F.col("l._salt") == F.col("r._salt")
     for c in columns:
         condition = condition & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
     extra = [F.col(f"r.{c}") for c in right.columns if c not in columns]
-    return left.alias("l").join(right.alias("r"), condition).select("l.*", *extra)
+    return salted.alias("l").join(copies.alias("r"), condition).select("l.*", *extra).drop("_salt")
 
 
 def _with_ties(df: DataFrame, by: Sequence[str], key: str, descending: bool) -> DataFrame:
     """Rows with ``_rank`` (ties share the first place) and ``_size`` of the group."""
-    rows = _sorted_rows(df, _sorted_by(by, key, descending, ()))
-    ties = _placed(rows).groupBy(*by, key).agg(
-        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_size"))
+    values = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_n"))
+    ties = _placed(values, _sorted_by(by, key, descending, ()), F.col("_n"))
     if by:
-        groups = ties.groupBy(*by).agg(F.min("_first").alias("_start"), F.sum("_n").alias("_size"))
-        ties = _match(ties.drop("_size"), groups, by).withColumn("_first", F.col("_first") - F.col("_start") + 1)
-    ranks = ties.select(*by, key, F.col("_first").alias("_rank"), "_size")
-    return _match(rows.drop("_row"), ranks, [*by, key])
+        groups = ties.groupBy(*by).agg(F.min("_place").alias("_start"), F.sum("_n").alias("_size"))
+        ties = _match(ties, groups, by).withColumn("_place", F.col("_place") - F.col("_start") + 1)
+    else:
+        ties = ties.withColumnRenamed("_total", "_size")
+    return _match(df, ties.select(*by, key, F.col("_place").alias("_rank"), "_size"), [*by, key])
 
 
-def _in_group(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``_place`` and ``_total`` counted within ``by`` instead of over all rows."""
+def _numbered(df: DataFrame, by: Sequence[str], key: str, descending: bool, ties: Sequence[str]) -> DataFrame:
+    """Rows with ``_place`` and ``_total`` within ``by``; what the ties leave equal is ordered by a hash of the row."""
+    order = [*_sorted_by(by, key, descending, ties), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    rows = _placed(df, order, F.lit(1))
     if not by:
         return rows
     groups = rows.groupBy(*by).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_size"))
@@ -89,22 +101,21 @@ def percent_rank(df: DataFrame, by: Sequence[str], key: str, name: str, descendi
 
 def dense_rank(df: DataFrame, by: Sequence[str], key: str, name: str, descending: bool = True) -> DataFrame:
     """DENSE_RANK within ``by``: ties share a rank, without gaps."""
-    rows = cut_lineage(df)
-    values = row_number(rows.select(*by, key).distinct(), by, key, name, descending)
-    return _match(rows, values, [*by, key])
+    values = row_number(df.select(*by, key).distinct(), by, key, name, descending)
+    return _match(df, values, [*by, key])
 
 
 def row_number(df: DataFrame, by: Sequence[str], key: str, name: str, descending: bool = True,
                ties: Sequence[str] = ()) -> DataFrame:
     """ROW_NUMBER within ``by``; give ``ties`` columns that make the order total."""
-    rows = _in_group(_placed(_sorted_rows(df, _sorted_by(by, key, descending, ties))), by)
+    rows = _numbered(df, by, key, descending, ties)
     return rows.withColumn(name, F.col("_place").cast("int")).drop("_place", "_total")
 
 
 def ntile(df: DataFrame, tiles: int, by: Sequence[str], key: str, name: str, descending: bool = False,
           ties: Sequence[str] = ()) -> DataFrame:
     """NTILE within ``by``; the first groups take one row more when sizes differ."""
-    rows = _in_group(_placed(_sorted_rows(df, _sorted_by(by, key, descending, ties))), by)
+    rows = _numbered(df, by, key, descending, ties)
     parts = (rows.withColumn("_long", F.col("_total") % tiles)
              .withColumn("_short_size", F.expr(f"_total div {tiles}"))
              .withColumn("_long_rows", F.col("_long") * (F.col("_short_size") + 1)))
@@ -116,10 +127,5 @@ def ntile(df: DataFrame, tiles: int, by: Sequence[str], key: str, name: str, des
 
 def top_n(df: DataFrame, n: int, by: Sequence[str], key: str, name: str, descending: bool = True,
           ties: Sequence[str] = ()) -> DataFrame:
-    """The first ``n`` rows of each group, numbered.
-
-    A plain window: Spark keeps only ``n`` rows per group in every map task
-    before the shuffle, so no task receives a whole group.
-    """
-    order = _sorted_by((), key, descending, ties)
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(name) <= n)
+    """The first ``n`` rows of each group, numbered; no task receives a whole group, however large ``n`` is."""
+    return row_number(df, by, key, name, descending, ties).filter(F.col(name) <= n)

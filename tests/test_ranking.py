@@ -70,12 +70,35 @@ def test_no_rows(rates):
 
 
 def test_no_task_takes_a_whole_group(rates):
-    plan = ranking.rank(rates, [], "rate", "r")._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert windows and all("sum(_n" in line for line in windows)
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-
-
-def test_top_n_is_cut_before_the_shuffle(rates):
-    plan = ranking.top_n(rates, 3, ["grp"], "rate", "n")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    for df in (ranking.rank(rates, [], "rate", "r"), ranking.top_n(rates, 3, ["grp"], "rate", "n")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        windows = [line for line in plan.splitlines() if "Window [" in line]
+        assert windows and all("sum(_n" in line or "_block" in line for line in windows)
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_value_that_most_rows_share_is_spread(spark):
+    """60 % of the rows have one rate: no task of the result holds over twice the average."""
+    n, i = 200_000, F.col("id")
+    df = spark.range(0, n, 1, 8).select(
+        F.when(i % 2 == 0, "a").otherwise("b").alias("grp"), i.alias("name"),
+        F.when(i % 5 < 3, 100.0).otherwise((i % 9973).cast("double")).alias("rate"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        for ranked in (ranking.rank(df, ["grp"], "rate", "r"), ranking.dense_rank(df, ["grp"], "rate", "r")):
+            sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n and max(sizes) < 2 * n / 8
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_top_n_beyond_the_limit_of_window_groups(spark):
+    i = F.col("id")
+    df = spark.range(0, 30_000, 1, 8).select(F.when(i % 3 < 2, "hot").otherwise("cold").alias("grp"), i.alias("name"), (i * 7919 % 30_011).alias("rate"))
+    got = ranking.top_n(df, 5_000, ["grp"], "rate", "n", ties=["name"])
+    exact = df.withColumn("n", F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("rate"), "name"))).filter("n <= 5000")
+    assert got.count() == 10_000 and got.select(*exact.columns).exceptAll(exact).count() == 0
