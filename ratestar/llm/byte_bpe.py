@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ratestar.llm.memory import tidy_batches
 from ratestar.llm.package import ship
 
 #: Texts longer than so many characters are cut into pieces of about that length.
@@ -121,7 +122,7 @@ def _map(df: DataFrame, drop: list[str], fields: list[T.StructField], rows: Call
             kept = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
             yield pa.RecordBatch.from_arrays(kept + rows(batch), names=names)
 
-    return df.mapInArrow(run, T.StructType(keep + fields))
+    return df.mapInArrow(tidy_batches(run), T.StructType(keep + fields))
 
 
 def _lists(ids: list[np.ndarray]) -> pa.Array:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratestar.llm.fm_index import FmIndex
+from ratestar.llm.memory import tidy_batches
 from ratestar.llm.package import ship
 from ratestar.llm.words import ALPHANUMERIC, Words, slices, split_words
 
@@ -224,11 +225,11 @@ def decontaminate(
 
     blocks = list(_blocks(benchmark, item_col, item_text_col, block_words)) or [[]]
     for block in blocks:
-        rows = rows.mapInArrow(one_pass(_Block(spark.sparkContext.broadcast(block))), schema)
+        rows = rows.mapInArrow(tidy_batches(one_pass(_Block(spark.sparkContext.broadcast(block)))), schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     found = rows.withColumn("n_hit", hit)
     if clean:
-        found = found.mapInArrow(_clean, T.StructType([*found.schema.fields, T.StructField("clean_text", T.StringType())]))
+        found = found.mapInArrow(tidy_batches(_clean), T.StructType([*found.schema.fields, T.StructField("clean_text", T.StringType())]))
     return found.select(F.col("id").alias(id_col), *[F.col("extra")[c].alias(c) for c in names],
                         "n_words", "n_hit", "items", "spans", *["clean_text"] * clean)
 

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratestar.llm import chunks
 from ratestar.llm.components import components
+from ratestar.llm.memory import tidy_batches, tidy_cogroup, tidy_group
 from ratestar.llm.package import ship
 from ratestar.llm.words import BLANK_SEPARATED, Words, mix, run_hashes, slices, split_words
 from ratestar.session import cut_lineage
@@ -249,7 +250,7 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = entries.join(pivots, "entry").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     compared = cut_lineage(
         _with_sets(pairs, sets).select("a", "ua", "x", "b", "nb", "ub", "y")
-        .mapInArrow(lambda batches: _differences(batches, percent),
+        .mapInArrow(tidy_batches(lambda batches: _differences(batches, percent)),
                     "pivot long, id long, n long, unshared long, linked boolean, d long, member array<long>, other array<long>"))
     links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     comps = cut_lineage(components(links))
@@ -268,7 +269,7 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         & (F.col("d1") + F.col("d2") - largest <= 2 * F.least(F.col("d1") - F.col("unshared1"), F.col("d2") - F.col("unshared2"))))
     more = found.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
     verified = cut_lineage(
-        _with_sets(more, sets).select("a", "b", "na", "nb", "x", "y").mapInArrow(_overlaps, "a long, b long, na long, nb long, common long")
+        _with_sets(more, sets).select("a", "b", "na", "nb", "x", "y").mapInArrow(tidy_batches(_overlaps), "a long, b long, na long, nb long, common long")
         .where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b"))
     if verified.isEmpty():
         return comps
@@ -311,7 +312,7 @@ def jaccard_components(
                     [part.column("id"), part.column("chunk"), pa.array(sizes.astype(np.int64)), pa.array(s1), pa.array(s2)],
                     names=["id", "chunk", "n_shingles", "s1", "s2"])
 
-    members = cut_lineage(rows.select("id", "text", chunk).mapInArrow(describe, _CLASS))
+    members = cut_lineage(rows.select("id", "text", chunk).mapInArrow(tidy_batches(describe), _CLASS))
     classes = (members.where("n_shingles > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n_shingles")
                .agg(F.min(F.struct("id", "chunk")).alias("rep")))
     reps = classes.groupBy("rep.chunk").agg(F.collect_list(F.struct("rep.id", "s1", "s2")).alias("reps"))
@@ -323,10 +324,10 @@ def jaccard_components(
     def index(table: pa.Table, notes: pa.Table) -> pa.Table:
         return _index(table, notes, width, buckets, percent, frequent, combined)
 
-    answers = (dealt.groupBy("chunk").cogroup(reps.groupBy("chunk")).applyInArrow(send, _MESSAGE)
-               .groupBy("bucket").applyInArrow(_count, _ANSWER))
+    answers = (dealt.groupBy("chunk").cogroup(reps.groupBy("chunk")).applyInArrow(tidy_cogroup(send), _MESSAGE)
+               .groupBy("bucket").applyInArrow(tidy_group(_count), _ANSWER))
     notes = answers.unionByName(reps, allowMissingColumns=True)
-    sets = cut_lineage(dealt.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(index, _ENTRY))
+    sets = cut_lineage(dealt.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(tidy_cogroup(index), _ENTRY))
     unshared = (F.col("n") - F.octet_length("hashes") / 8).cast("long").alias("unshared")
     linked = _linked(sets.select(F.explode("entries").alias("entry"), "id", unshared), sets.select("id", "n", "hashes"), percent)
     keyed = members.join(classes.select("s1", "s2", "n_shingles", F.col("rep.id").alias("class_id")), ["s1", "s2", "n_shingles"], "left")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratestar.llm import chunks
+from ratestar.llm.memory import tidy_cogroup, tidy_group
 from ratestar.llm.package import ship
 from ratestar.llm.words import Words, run_hashes, split_words
 
@@ -154,14 +155,14 @@ def remove_repeated_windows(
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         return _remove(table, answers, window, buckets, as_is)
 
-    answers = (dealt.groupBy("chunk").applyInArrow(send, _MESSAGE)
-               .groupBy("bucket").applyInArrow(_judge, _ANSWER))
+    answers = (dealt.groupBy("chunk").applyInArrow(tidy_group(send), _MESSAGE)
+               .groupBy("bucket").applyInArrow(tidy_group(_judge), _ANSWER))
     schema = T.StructType([
         rows.schema["id"], rows.schema["extra"], T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("removed", T.ArrayType(T.StructType([
             T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
         T.StructField("kept_text", T.StringType())])
-    found = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(remove, schema)
+    found = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(tidy_cogroup(remove), schema)
     return found.select(F.col("id").alias(id_col), *[F.col("extra")[c].alias(c) for c in names],
                         "n_words", "n_removed", "removed", "kept_text")
 

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ratestar.llm.memory import tidy_batches
 from ratestar.llm.package import ship
 from ratestar.llm.words import Words, byte_class, mix, slices, split_words
 
@@ -30,7 +31,7 @@ _U = np.uint64
 class Settings:
     """Parameters of learning. sample_rows bounds the labelled documents learnt from."""
 
-    hash_bits: int = 22
+    hash_bits: int = 21
     skips: tuple[int, ...] = (1, 2, 3)
     alpha: float = 2.0
     beta: float = 1.0
@@ -38,7 +39,7 @@ class Settings:
     l2: float = 1.0
     positive_weight: float = 2.0
     passes: int = 3
-    sample_rows: int = 24_000
+    sample_rows: int = 16_000
     seed: int = 17
 
 
@@ -149,8 +150,8 @@ def learn(labelled: DataFrame, text_col: str, label_col: str, order: Column, set
         used = np.flatnonzero(weight)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weight[used])], names=["feature", "weight"])
 
-    found = (rows.mapInArrow(vectors, "label int, place long, feature array<int>").repartition(1)
-             .mapInArrow(train, "feature long, weight double").toArrow())
+    found = (rows.mapInArrow(tidy_batches(vectors), "label int, place long, feature array<int>").repartition(1)
+             .mapInArrow(tidy_batches(train), "feature long, weight double").toArrow())
     return Model(settings, found.column("feature").to_numpy(), found.column("weight").to_numpy())
 
 
@@ -183,7 +184,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             kept = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found)], names=[*(f.name for f in keep), score_col])
 
-    return docs.mapInArrow(run, T.StructType([*keep, T.StructField(score_col, T.DoubleType())]))
+    return docs.mapInArrow(tidy_batches(run), T.StructType([*keep, T.StructField(score_col, T.DoubleType())]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
