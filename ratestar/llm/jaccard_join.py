@@ -41,6 +41,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Shingles of more classes than this are frequent and indexed in combinations.
 FREQUENT = 16
+#: Keys over which the documents of one class are spread when it is looked up.
+SALTS = 16
 #: Sets of more shingles index single ones only.
 COMBINED_SHINGLES = 512
 
@@ -314,7 +316,7 @@ def jaccard_components(
 
     members = cut_lineage(rows.select("id", "text", chunk).mapInArrow(tidy_batches(describe), _CLASS))
     classes = (members.where("n_shingles > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n_shingles")
-               .agg(F.min(F.struct("id", "chunk")).alias("rep")))
+               .agg(F.min(F.struct("id", "chunk")).alias("rep"), F.count("*").alias("size")))
     reps = classes.groupBy("rep.chunk").agg(F.collect_list(F.struct("rep.id", "s1", "s2")).alias("reps"))
     dealt = chunks.in_chunks(rows, number, "id", "text")
 
@@ -330,8 +332,12 @@ def jaccard_components(
     sets = cut_lineage(dealt.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(tidy_cogroup(index), _ENTRY))
     unshared = (F.col("n") - F.octet_length("hashes") / 8).cast("long").alias("unshared")
     linked = _linked(sets.select(F.explode("entries").alias("entry"), "id", unshared), sets.select("id", "n", "hashes"), percent)
-    keyed = members.join(classes.select("s1", "s2", "n_shingles", F.col("rep.id").alias("class_id")), ["s1", "s2", "n_shingles"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("id"))
+    # Only classes of several documents are looked up, and a large one under several keys.
+    shared = (classes.where("size > 1").select("s1", "s2", "n_shingles", F.col("rep.id").alias("class_id"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    keyed = (members.withColumn("salt", F.pmod(F.xxhash64("id", "chunk"), F.lit(SALTS)).cast("int"))
+             .join(shared, ["s1", "s2", "n_shingles", "salt"], "left"))
+    own = F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "id")).otherwise(F.col("id"))
     return (keyed.withColumn("class_id", F.when(F.col("id").isNotNull(), own))
             .join(linked.select(F.col("id").alias("class_id"), "comp"), "class_id", "left")
             .select(F.col("id").alias(id_col), "n_shingles", "class_id", F.coalesce("comp", "class_id").alias("component_id")))
