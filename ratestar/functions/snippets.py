@@ -1,8 +1,12 @@
-"""Named filters and expressions. Each returns a Column over star columns."""
+"""Named filters and expressions. Each returns a Column over star columns.
+
+Filters that metric views use take ``col``, which finds a column by its name.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
@@ -20,20 +24,23 @@ def eligible_for_measure() -> Column:
     return (F.col("in_denominator") == F.lit(True)) & (F.col("exclusion_applied") == F.lit(False))
 
 
-def high_priority_measures() -> Column:
-    return F.col("high_priority_flag") == F.lit(True)
+Lookup = Callable[[str], Column]
+
+
+def high_priority_measures(col: Lookup = F.col) -> Column:
+    return col("high_priority_flag") == F.lit(True)
 
 
-def star_rating_measures() -> Column:
-    return F.col("star_rating_flag") == F.lit(True)
+def star_rating_measures(col: Lookup = F.col) -> Column:
+    return col("star_rating_flag") == F.lit(True)
 
 
-def in_year(year: int) -> Column:
-    return F.col("measurement_year") == F.lit(year)
+def in_year(year: int, col: Lookup = F.col) -> Column:
+    return col("measurement_year") == F.lit(year)
 
 
-def in_quarter(year: int, quarter: int) -> Column:
-    return in_year(year) & (F.col("quarter") == F.lit(quarter))
+def in_quarter(year: int, quarter: int, col: Lookup = F.col) -> Column:
+    return in_year(year, col) & (col("quarter") == F.lit(quarter))
 
 
 def at_risk() -> Column:
@@ -75,14 +82,14 @@ def gap(threshold: Column, numerator: Column, denominator: Column) -> Column:
 
 # Expressions
 
-def measurement_quarter() -> Column:
-    return F.concat(F.col("measurement_year").cast("string"), F.lit("-Q"), F.col("quarter").cast("string"))
+def measurement_quarter(col: Lookup = F.col) -> Column:
+    return F.concat(col("measurement_year").cast("string"), F.lit("-Q"), col("quarter").cast("string"))
 
 
-def member_age(as_of: dt.date | None = None) -> Column:
+def member_age(as_of: dt.date | None = None, col: Lookup = F.col) -> Column:
     """Age in whole years of 365.25 days, today unless ``as_of`` is given."""
     today = F.current_date() if as_of is None else F.lit(as_of)
-    return F.floor(F.datediff(today, F.col("date_of_birth")) / F.lit(Decimal("365.25"))).cast("int")
+    return F.floor(F.datediff(today, col("date_of_birth")) / F.lit(Decimal("365.25"))).cast("int")
 
 
 def enrollment_month_label() -> Column:

@@ -4,35 +4,61 @@ A query names dimensions, measures and filters and gets a DataFrame:
 
 * only dimension tables that a chosen dimension, measure or filter uses are
   joined (their keys are unique, see ``check_keys``);
-* the fact is aggregated to its own dimensions and join keys *before* the
-  joins. Each map task combines its rows first, so a join key that holds a
-  third of all rows shuffles as a handful of partial sums and is one row per
-  group when it reaches the join. The dimension tables need not be small;
-* with distinct counts over small reference tables, whose size is checked, the
-  tables are broadcast instead and the fact is shuffled once;
+* while at most one joined table grows with the data, the fact is aggregated
+  to its own dimensions and join keys *before* the joins. Each map task combines
+  its rows first, so a join key that holds a third of all rows shuffles as a
+  handful of partial sums and is one row per group when it reaches the join;
+* the keys of two or more growing tables are nearly as many as the rows, so
+  there the rows are joined, with hot keys spread over salted copies, and
+  aggregated once. Distinct counts over reference tables alone, which reduce to
+  nothing smaller than the values counted, are joined first too;
+* which of these it is follows from the definition, not from sizes. No table is
+  counted and nothing is hinted; Spark's threshold decides what is broadcast;
 * measures are sums of partial sums, so every total is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratestar.schema import TABLES, edge_between
+from ratestar.schema import TABLES, Table, edge_between
 from ratestar.sources.star import Star, matches
 
+#: Copies of a growing dimension table in a join of whole rows, over which a hot key is spread.
+SALTS = 8
+
 
 @dataclass(frozen=True)
 class Dimension:
-    """A grouping column of the fact or of a joined dimension table."""
+    """A grouping column of the fact or of a joined dimension table, or an expression over columns of one of them.
+
+    For an expression give the columns it reads as ``inputs`` and a function
+    ``value`` from those to the result; ``column`` is then the name under which
+    the rows carry it, and must differ from the table's columns.
+    """
 
     name: str
     table: str
     column: str
     comment: str = ""
+    inputs: tuple[str, ...] = ()
+    value: Callable[..., Column] | None = None
+
+    @property
+    def reads(self) -> tuple[str, ...]:
+        return self.inputs if self.value else (self.column,)
+
+
+@dataclass(frozen=True)
+class Condition:
+    """A filter over several dimensions: ``holds`` gets a function from a dimension's name to its column."""
+
+    dimensions: tuple[str, ...]
+    holds: Callable[[Callable[[str], Column]], Column]
 
 
 @dataclass(frozen=True)
@@ -145,7 +171,9 @@ class MetricView:
     """A fact table, the dimension tables it joins, and what can be asked of them.
 
     ``helpers`` are measures that others are derived from and that cannot be
-    asked for themselves.
+    asked for themselves. For tables of one's own give their definitions as
+    ``tables`` and, for each joined one, the column shared with the source as
+    ``keys``; both default to those of the star.
     """
 
     name: str
@@ -155,13 +183,17 @@ class MetricView:
     measures: tuple[Measure, ...]
     helpers: tuple[Measure, ...] = ()
     comment: str = ""
+    tables: Mapping[str, Table] = field(default_factory=lambda: TABLES)
+    keys: Mapping[str, str] = field(default_factory=dict)
 
     def query(self, star: Star, dimensions: Sequence[str], measures: Sequence[str],
-              where: Mapping[str, Any] | None = None, how: str = "left") -> DataFrame:
+              where: Mapping[str, Any] | None = None, how: str = "left",
+              conditions: Sequence[Condition] = ()) -> DataFrame:
         """Measures by dimensions.
 
         ``where`` maps a dimension to a value, a collection of values, or a
-        function from Column to condition, and applies before aggregation;
+        function from Column to condition; ``conditions`` may combine several
+        dimensions, also of different tables. Both apply before aggregation;
         filter the result for conditions on measures. ``how="left"`` counts
         fact rows without a match; ``"inner"`` drops those without a match in
         the tables used.
@@ -169,6 +201,7 @@ class MetricView:
         where = where or {}
         groups = [self._dimension(n) for n in dimensions]
         filters = [(self._dimension(n), wanted) for n, wanted in where.items()]
+        conditional = [self._dimension(n) for c in conditions for n in c.dimensions]
         chosen = [self._measure(n) for n in measures]
         self._validate(dimensions, measures, how)
 
@@ -177,16 +210,27 @@ class MetricView:
         distinct = [m for m in base if isinstance(m, Distinct)]
         attributes = [m for m in base if isinstance(m, Attribute)]
 
-        used = {d.table for d in groups} | {d.table for d, _ in filters} | {a.table for a in attributes}
+        named = [*groups, *[d for d, _ in filters], *conditional]
+        used = {d.table for d in named} | {a.table for a in attributes}
         joined = [t for t in self.joins if t in used]
-        keys = {t: edge_between(self.source, t).key for t in joined}
+        keys = {t: self._key(t) for t in joined}
 
-        own = [d.column for d in groups if d.table == self.source]
+        # Conditions over the fact alone apply to its rows; the others need their columns after the joins.
+        early = [c for c in conditions if all(self._dimension(n).table == self.source for n in c.dimensions)]
+        late = [c for c in conditions if c not in early]
+        kept = [self._dimension(n) for c in late for n in c.dimensions]
+        own = list(dict.fromkeys(d.column for d in [*groups, *kept] if d.table == self.source))
         counted = list(dict.fromkeys(m.column for m in distinct))
         inputs = [c for m in additive for c in m.inputs]
-        fact_columns = [*own, *keys.values(), *counted, *inputs] or [TABLES[self.source].columns.names[0]]
-        fact = star.table(self.source, fact_columns,
-                          {d.column: wanted for d, wanted in filters if d.table == self.source})
+        fact_columns = [*keys.values(), *counted, *inputs]
+        pushed = {d.column: wanted for d, wanted in filters if d.table == self.source and not d.value}
+        fact = self._rows(star, self.source, fact_columns, named, pushed)
+        for dimension, wanted in filters:
+            if dimension.table == self.source and dimension.value:
+                fact = fact.filter(matches(F.col(dimension.column), wanted))
+        for condition in early:
+            fact = fact.filter(condition.holds(lambda n: F.col(self._dimension(n).column)))
+        fact = fact.select(*list(dict.fromkeys([*own, *fact_columns])) or fact.columns[:1])
 
         if not joined:
             merged = [m.partial().alias(m.name) for m in additive]
@@ -194,22 +238,31 @@ class MetricView:
             result = fact.groupBy(*[F.col(d.column).alias(d.name) for d in groups]).agg(*merged)
             return result.select(*dimensions, *self._values(chosen))
 
-        # Distinct values cannot be reduced further than to themselves, so with
-        # small dimension tables only they are grouped just once, after the join
+        # Rows are joined as they are if reducing them first would not shrink them
         # (unless a joined column would hide one that a measure reads).
-        borrowed = {i.column for i in [*groups, *[d for d, _ in filters], *attributes] if i.table in joined}
-        direct = bool(counted) and not borrowed & set(inputs) and all(star.fits_broadcast(t) for t in joined)
+        growing = [t for t in joined if not self.tables[t].reference]
+        borrowed = {i.column for i in [*named, *attributes] if i.table in joined}
+        direct = not borrowed & set(inputs) and (len(growing) > 1 or bool(counted) and not growing)
         grain = list(dict.fromkeys([*own, *keys.values()]))
-        rows = (fact if direct else _reduced(fact, grain, counted, additive)).alias("source")
+        rows = fact if direct else _reduced(fact, grain, counted, additive)
+        if direct and growing:
+            parts = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(SALTS)).cast("int")
+            rows = rows.withColumn("_salt", parts)
+        rows = rows.alias("source")
         for table in joined:
-            wanted = [d.column for d in [*groups, *[d for d, _ in filters]] if d.table == table]
-            wanted += [a.column for a in attributes if a.table == table]
-            other = star.table(table, [keys[table], *wanted])
-            other = (F.broadcast(other) if direct else other).alias(table)
-            rows = rows.join(other, F.col(f"source.{keys[table]}") == F.col(f"{table}.{keys[table]}"), how)
+            plain = [keys[table], *[a.column for a in attributes if a.table == table]]
+            other = self._rows(star, table, plain, named, {})
+            other = other.select(*dict.fromkeys([*plain, *[d.column for d in named if d.table == table]]))
+            match = F.col(f"source.{keys[table]}") == F.col(f"{table}.{keys[table]}")
+            if direct and table in growing:
+                other = other.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+                match = match & (F.col("source._salt") == F.col(f"{table}._part"))
+            rows = rows.join(other.alias(table), match, how)
         for dimension, wanted in filters:
             if dimension.table != self.source:
                 rows = rows.filter(matches(self._qualified(dimension), wanted))
+        for condition in late:
+            rows = rows.filter(condition.holds(lambda n: self._qualified(self._dimension(n))))
 
         by = [self._qualified(d).alias(d.name) for d in groups]
         merged = [(m.partial() if direct else m.merge(F.col(f"source._{m.name}"))).alias(m.name) for m in additive]
@@ -225,10 +278,20 @@ class MetricView:
             result = rows.groupBy(*by).agg(*merged)
         return result.select(*dimensions, *self._values(chosen))
 
+    def _rows(self, star: Star, table: str, columns: Sequence[str], named: Sequence[Dimension], where: Mapping[str, Any]) -> DataFrame:
+        """A table's wanted columns and those of its named dimensions, expressions worked out."""
+        mine = list(dict.fromkeys(d for d in named if d.table == table))
+        wanted = list(dict.fromkeys([*columns, *[c for d in mine for c in d.reads]]))
+        rows = star.table(table, wanted or [self.tables[table].columns.names[0]], where)
+        return rows.withColumns({d.column: d.value(*[F.col(c) for c in d.inputs]) for d in mine if d.value})
+
+    def _key(self, table: str) -> str:
+        return self.keys.get(table) or edge_between(self.source, table).key
+
     def check_keys(self, star: Star) -> None:
         """Raise if a joined table repeats its key, which would multiply fact rows."""
         for table in self.joins:
-            key = edge_between(self.source, table).key
+            key = self._key(table)
             repeated = star.table(table, [key]).groupBy(key).count().filter("count > 1")
             if not repeated.isEmpty():
                 raise ValueError(f"{self.name}: {table}.{key} is not unique")

@@ -18,7 +18,7 @@ STAR = {
         FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
     "dim_provider": """
         SELECT CAST(1000000000 + s_suppkey AS VARCHAR) AS provider_npi,
-               'Provider ' || CAST(s_suppkey % 90 AS VARCHAR) AS provider_name,
+               'Provider ' || CAST(s_suppkey - CASE WHEN s_suppkey % 20 = 16 THEN 4 ELSE 0 END AS VARCHAR) AS provider_name,
                (['PCP', 'Specialist', 'FQHC', 'Hospital'])[s_suppkey % 4 + 1] AS provider_type,
                'T' || CAST(s_suppkey % 8 AS VARCHAR) AS specialty_code,
                lpad(CAST(s_nationkey + 1000 AS VARCHAR), 5, '0') AS county_fips,
@@ -71,7 +71,7 @@ STAR = {
     "fact_claims": """
         SELECT 'CLM' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS claim_id,
                'MBR' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS member_id,
-               CAST(1000000000 + o_orderkey % 100 AS VARCHAR) AS provider_npi,
+               CAST(1000000000 + o_orderkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS provider_npi,
                CAST(o_orderdate AS DATE) AS service_date,
                CASE o_orderstatus WHEN 'F' THEN 'IP' WHEN 'O' THEN 'OP' WHEN 'P' THEN 'Prof' END AS claim_type,
                CASE o_orderkey % 4 WHEN 0 THEN ['E11.9'] WHEN 1 THEN ['I10', 'E11.9']
@@ -283,6 +283,12 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
     "s01_typed_scan": "SELECT o_orderstatus, COUNT(*) AS orders, MIN(o_orderkey) AS first_key, "
                       "MAX(o_orderkey) AS last_key FROM orders GROUP BY o_orderstatus",
     "s02_inferred_scan": "SELECT c_mktsegment, COUNT(*) AS customers FROM customer GROUP BY c_mktsegment",
+    "s10_member_county_on_events":
+        'SELECT b.county_fips, e."quarter", COUNT(*) AS events, COUNT(DISTINCT e.member_id) AS members '
+        'FROM fact_quality_events e LEFT JOIN dim_member b USING (member_id) GROUP BY ALL',
+    "s10_member_attributes_on_enrollment":
+        "SELECT e.member_id, CAST(e.snapshot_month AS VARCHAR) AS month, b.aid_category, b.county_fips "
+        "FROM fact_enrollment e LEFT JOIN dim_member b USING (member_id)",
     "s03_full_refresh": view("claims", ["measurement_year", "claim_type"], ["claim_count", "total_paid"]),
     "s05_typed_append": view("enrollment", ["plan_id", "is_active"], ["snapshots", "enrolled_members"]),
     "s06_catalog_scan": "SELECT region, gender, COUNT(*) AS members FROM dim_member JOIN dim_county USING (county_fips) "
@@ -327,6 +333,8 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
                                 'WHERE in_denominator AND exclusion_applied = FALSE GROUP BY 1',
     "f10_high_priority_measures": view("quality", ["measure_category"], ["total_events", "performance_rate"], "m.high_priority_flag"),
     "f11_star_rating_measures": view("quality", ["measure_category"], ["total_events", "performance_rate"], "m.star_rating_flag"),
+    "f13_either_of_two_tables": view("quality", ["measure_category"], ["total_events", "performance_rate"],
+                                     "e.measurement_year = 2000 AND (m.star_rating_flag OR (b.gender = 'F' AND e.\"quarter\" = 1))"),
     "f12_three_valued_logic": f"SELECT exclusion_applied, COUNT(*) AS events, {DEN} AS eligible "
                               f"FROM fact_quality_events e GROUP BY exclusion_applied",
     "j01_member_county": "SELECT region, COUNT(*) AS row_count FROM dim_member JOIN dim_county USING (county_fips) GROUP BY 1",
@@ -368,7 +376,17 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
     "m03_filter_before": view("quality", ["region", "aid_category"], ["denominator", "performance_rate"],
                               "e.measurement_year IN (1999, 2000) AND b.gender = 'F'"),
     "m04_filter_after": f"SELECT * FROM ({view('quality', PROVIDER, ['performance_rate', 'denominator'])}) "
-                        f"WHERE performance_rate > 75 AND denominator >= 10",
+                        f"WHERE performance_rate > 66 AND denominator >= 10",
+    "m01_by_quarter_label":
+        'SELECT CAST(measurement_year AS VARCHAR) || \'-Q\' || CAST("quarter" AS VARCHAR) AS quarter_label, * EXCLUDE (measurement_year, "quarter") FROM ('
+        + view("quality", ["measurement_year", "quarter", "measure_category"], ["total_events", "performance_rate"]) + ")",
+    "m01_by_member_age":
+        "SELECT CAST(floor(datediff('day', b.date_of_birth, current_date) / 365.25) AS INTEGER) AS member_age, COUNT(*) AS total_events, "
+        "COUNT(DISTINCT e.member_id) AS distinct_members FROM fact_quality_events e LEFT JOIN dim_member b USING (member_id) "
+        "WHERE e.measurement_year = 2000 GROUP BY 1",
+    "m02_members_and_providers": view("quality", ["provider_type", "aid_category"],
+                                      ["denominator", "performance_rate", "distinct_members", "distinct_providers"]),
+    "m02_distinct_by_provider_type": view("quality", ["provider_type"], ["total_events", "distinct_members", "distinct_providers"]),
     "m06_window_on_view": f"SELECT *, CAST(rank() OVER (PARTITION BY measure_category ORDER BY performance_rate DESC NULLS LAST) "
                           f"AS INTEGER) AS category_rank FROM ({view('quality', ['measure_category', 'measure_name'], ['performance_rate'])})",
     "m07_one_rate": f"SELECT *, performance_rate AS recomputed FROM "
@@ -410,10 +428,13 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
     "w11_aggregate_in_window": f"SELECT m.measure_category, m.measure_name, CAST(rank() OVER (PARTITION BY m.measure_category "
                                f"ORDER BY {raw()} DESC NULLS LAST) AS INTEGER) AS category_rank FROM fact_quality_events e "
                                f"JOIN dim_measure m ON e.measure_id = m.measure_id WHERE e.measurement_year = 2000 GROUP BY m.measure_category, m.measure_name",
-    "l01_sort_by_one": view("claims", ["claim_type"], ["total_paid"]),
-    "l02_sort_by_many": view("quality", ["measure_name", "measurement_year"], ["numerator"]),
-    "l03_mixed_sort": view("quality", ["measure_name", "state_code"], ["numerator"]),
-    "l04_sort_by_expression": view("quality", ["measure_name"], ["gap_to_threshold"]),
+    "l01_sort_by_one": view("claims", ["claim_type"], ["total_paid"]) + " ORDER BY total_paid DESC, claim_type",
+    "l02_sort_by_many": view("quality", ["measure_name", "measurement_year"], ["numerator"])
+                        + " ORDER BY measure_name NULLS FIRST, measurement_year NULLS FIRST",
+    "l03_mixed_sort": view("quality", ["measure_name", "state_code"], ["numerator"])
+                      + " ORDER BY measure_name NULLS FIRST, numerator DESC, state_code NULLS FIRST",
+    "l04_sort_by_expression": view("quality", ["measure_name"], ["gap_to_threshold"])
+                              + " ORDER BY abs(gap_to_threshold) DESC NULLS LAST, measure_name NULLS FIRST",
     "l05_top_k": f"{ENROLLED} ORDER BY enrolled_members DESC, county_name, state_code LIMIT 5",
     "x01_round": "SELECT claim_type, CAST(ROUND(SUM(paid_amount), 0) AS DOUBLE) AS paid_0, "
                  "CAST(ROUND(SUM(paid_amount), 1) AS DOUBLE) AS paid_1, CAST(SUM(paid_amount) AS DOUBLE) AS paid_2 "
@@ -430,7 +451,9 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
     "x08_comparison": f"SELECT measure_id, performance_rate < regulatory_threshold AS below, performance_rate > regulatory_threshold AS above, "
                       f"regulatory_threshold = 63 AS is_63 FROM ({view('quality', ['measure_id', 'regulatory_threshold'], ['performance_rate'])})",
     "x09_current_date": "SELECT aid_category, COUNT(CASE WHEN enrollment_end_dt < current_date THEN 1 END) AS ended, "
-                        "COUNT(*) - COUNT(enrollment_end_dt) AS open FROM dim_member GROUP BY aid_category",
+                        "COUNT(*) - COUNT(enrollment_end_dt) AS open, "
+                        "COUNT(*) FILTER (WHERE dayofyear(enrollment_start_dt) < 183) AS overdue, "
+                        "COUNT(*) FILTER (WHERE dayofyear(enrollment_start_dt) = 183) AS due FROM dim_member GROUP BY aid_category",
     "x10_array": "SELECT member_id, gender || '/' || race_ethnicity AS profile, CAST(len([gender, race_ethnicity]) AS INTEGER) AS parts FROM dim_member",
     "x11_month_start": "SELECT CAST(CAST(date_trunc('month', service_date) AS DATE) AS VARCHAR) AS month, COUNT(*) AS claims FROM fact_claims GROUP BY 1",
     "x12_year_and_quarter": "SELECT CAST(year(service_date) AS INTEGER) AS year, CAST(quarter(service_date) AS INTEGER) AS service_quarter, "

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,9 +11,10 @@ from ratestar.functions import snippets as s
 from ratestar.operators import checks, masking, ranking, trends
 from ratestar.operators.changes import snapshot_diff
 from ratestar.plans import questions as q
+from ratestar.operators.metric_view import Condition
 from ratestar.plans.views import CLAIMS, ENROLLMENT, QUALITY
 from ratestar.schema import HIGHER
-from ratestar.session import checkpoint_folder
+from ratestar.session import scratch_folder
 from ratestar.sources import sinks
 from ratestar.sources.order_star import OrderStar
 from ratestar.sources.star import CatalogStar
@@ -33,14 +33,15 @@ def query(name: str):
     return register
 
 
-def _view(name, view, dimensions, measures, where=None, how="left"):
-    QUERIES[name] = lambda star: view.query(star, dimensions, measures, where, how)
+def _view(name, view, dimensions, measures, where=None, how="left", conditions=()):
+    QUERIES[name] = lambda star: view.query(star, dimensions, measures, where, how, conditions)
 
 
 def _fresh_schema(star: OrderStar) -> str:
-    """A new catalog schema in a new folder next to the checkpoints."""
-    name = f"ratestar_{uuid.uuid4().hex}"
-    sinks.create_schema(star.spark, name, f"{checkpoint_folder(star.spark)}/{name}")
+    """A new catalog schema in a new folder next to the checkpoints; its files go when the application ends."""
+    folder = scratch_folder(star.spark, "schema")
+    name = "ratestar_" + folder.rpartition("-")[2]
+    sinks.create_schema(star.spark, name, folder)
     return name
 
 
@@ -103,6 +104,18 @@ def _(star):
     return star.join("fact_claims", "dim_member", ["claim_id", "claim_type"], ["aid_category", "county_fips"], how="left")
 
 
+@query("s10_member_county_on_events")
+def _(star):
+    return sinks.with_member_attributes(star, "fact_quality_events", ("county_fips",)).groupBy("county_fips", "quarter").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("member_id").alias("members"))
+
+
+@query("s10_member_attributes_on_enrollment")
+def _(star):
+    return sinks.with_member_attributes(star, "fact_enrollment", ("aid_category", "county_fips")).select(
+        "member_id", F.col("snapshot_month").cast("string").alias("month"), "aid_category", "county_fips")
+
+
 def _member_year(star: OrderStar, year: int) -> DataFrame:
     inside = F.year("snapshot_month") == year
     return star.table("fact_enrollment", ["snapshot_month", "member_id", "plan_id", "is_active"]).filter(inside).groupBy(
@@ -156,8 +169,10 @@ def _(star):
         F.sum(F.when(s.active_members(), 0).otherwise(1)).alias("inactive"))
 
 
-_view("f01_year", QUALITY, ["measure_id"], ["total_events"], {"measurement_year": YEAR})
-_view("f02_year_and_quarter", QUALITY, ["measure_id"], ["total_events"], {"measurement_year": YEAR, "quarter": QUARTER})
+_view("f01_year", QUALITY, ["measure_id"], ["total_events"],
+      conditions=[Condition(("measurement_year",), lambda col: s.in_year(YEAR, col))])
+_view("f02_year_and_quarter", QUALITY, ["measure_id"], ["total_events"],
+      conditions=[Condition(("measurement_year", "quarter"), lambda col: s.in_quarter(YEAR, QUARTER, col))])
 _view("f03_category", QUALITY, ["measure_name"], ["total_events"], {"measure_category": "Diabetes"})
 _view("f04_direction", QUALITY, ["measure_name"], ["total_events"], {"reporting_direction": HIGHER})
 
@@ -191,9 +206,12 @@ def _(star):
 
 
 _view("f10_high_priority_measures", QUALITY, ["measure_category"], ["total_events", "performance_rate"],
-      {"high_priority_flag": True})
+      conditions=[Condition(("high_priority_flag",), s.high_priority_measures)])
 _view("f11_star_rating_measures", QUALITY, ["measure_category"], ["total_events", "performance_rate"],
-      {"star_rating_flag": True})
+      conditions=[Condition(("star_rating_flag",), s.star_rating_measures)])
+_view("f13_either_of_two_tables", QUALITY, ["measure_category"], ["total_events", "performance_rate"], {"measurement_year": YEAR},
+      conditions=[Condition(("star_rating_flag", "gender", "quarter"),
+                            lambda col: s.star_rating_measures(col) | ((col("gender") == "F") & (col("quarter") == QUARTER)))])
 
 
 @query("f12_three_valued_logic")
@@ -267,7 +285,14 @@ _view("m03_filter_before", QUALITY, ["region", "aid_category"], ["denominator",
 @query("m04_filter_after")
 def _(star):
     rates = QUALITY.query(star, ["provider_name", "provider_type"], ["performance_rate", "denominator"])
-    return rates.filter((F.col("performance_rate") > 75) & (F.col("denominator") >= 10))
+    return rates.filter((F.col("performance_rate") > 66) & (F.col("denominator") >= 10))
+
+
+_view("m01_by_quarter_label", QUALITY, ["quarter_label", "measure_category"], ["total_events", "performance_rate"])
+_view("m01_by_member_age", QUALITY, ["member_age"], ["total_events", "distinct_members"], {"measurement_year": YEAR})
+_view("m02_members_and_providers", QUALITY, ["provider_type", "aid_category"],
+      ["denominator", "performance_rate", "distinct_members", "distinct_providers"])
+_view("m02_distinct_by_provider_type", QUALITY, ["provider_type"], ["total_events", "distinct_members", "distinct_providers"])
 
 
 @query("m06_window_on_view")
@@ -361,7 +386,7 @@ def _(star):
 
 @query("l01_sort_by_one")
 def _(star):
-    return CLAIMS.query(star, ["claim_type"], ["total_paid"]).orderBy(F.desc("total_paid"))
+    return CLAIMS.query(star, ["claim_type"], ["total_paid"]).orderBy(F.desc("total_paid"), "claim_type")
 
 
 @query("l02_sort_by_many")
@@ -371,12 +396,13 @@ def _(star):
 
 @query("l03_mixed_sort")
 def _(star):
-    return QUALITY.query(star, ["measure_name", "state_code"], ["numerator"]).orderBy("measure_name", F.desc("numerator"))
+    return QUALITY.query(star, ["measure_name", "state_code"], ["numerator"]).orderBy("measure_name", F.desc("numerator"), "state_code")
 
 
 @query("l04_sort_by_expression")
 def _(star):
-    return QUALITY.query(star, ["measure_name"], ["gap_to_threshold"]).orderBy(F.abs("gap_to_threshold").desc())
+    return QUALITY.query(star, ["measure_name"], ["gap_to_threshold"]).orderBy(
+        F.abs("gap_to_threshold").desc(), "measure_name")
 
 
 @query("l05_top_k")
@@ -442,10 +468,14 @@ def _(star):
 
 @query("x09_current_date")
 def _(star):
-    members = star.table("dim_member", ["aid_category", "enrollment_end_dt"])
+    # Days on both sides of today, half a year around it.
+    members = star.table("dim_member", ["aid_category", "enrollment_start_dt", "enrollment_end_dt"]).withColumn(
+        "renewal", F.date_add(F.current_date(), F.dayofyear("enrollment_start_dt") - 183))
     return members.groupBy("aid_category").agg(
         F.count_if(F.col("enrollment_end_dt") < F.current_date()).alias("ended"),
-        F.count_if(F.col("enrollment_end_dt").isNull()).alias("open"))
+        F.count_if(F.col("enrollment_end_dt").isNull()).alias("open"),
+        F.count_if(F.col("renewal") < F.current_date()).alias("overdue"),
+        F.count_if(F.col("renewal") == F.current_date()).alias("due"))
 
 
 @query("x10_array")

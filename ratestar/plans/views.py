@@ -37,6 +37,10 @@ QUALITY = MetricView(
         Dimension("aid_category", "dim_member", "aid_category", "Eligibility category"),
         Dimension("gender", "dim_member", "gender", "Gender code"),
         Dimension("race_ethnicity", "dim_member", "race_ethnicity", "Self-reported group"),
+        Dimension("quarter_label", EVENTS, "quarter_label", "Year and quarter, like 2025-Q1", ("measurement_year", "quarter"),
+                  lambda *_: s.measurement_quarter()),
+        Dimension("member_age", "dim_member", "member_age", "Age today in whole years", ("date_of_birth",),
+                  lambda *_: s.member_age()),
     ),
     measures=(
         Count("denominator", ("in_denominator", "exclusion_applied"), s.counts_as_eligible,

@@ -20,7 +20,7 @@ class Table:
     """One star table. ``keys`` are the column sets that must be unique.
 
     ``reference`` tables list what exists in the world (counties, measures)
-    and do not grow with the facts, so asking for their size is cheap.
+    and do not grow with the facts.
     """
 
     name: str

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,16 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the checkpoint folder, which goes with its files when the application ends."""
+    folder = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the files.
 

@@ -50,7 +50,8 @@ def _choose(index: str, *values: str) -> str:
     return f"array({', '.join(repr(v) for v in values)})[CAST({index} AS INT)]"
 
 
-# Star columns as SQL over the joined raw tables.
+# Star columns as SQL over the joined raw tables. Their wording of types, standards
+# and categories is fixed values.
 PROJECTIONS = {
     "dim_county": {
         "county_fips": _fips("n_nationkey"),
@@ -61,7 +62,8 @@ PROJECTIONS = {
     },
     "dim_provider": {
         "provider_npi": _npi("s_suppkey"),
-        "provider_name": "concat('Provider ', s_suppkey % 90)",
+        # Fixed share, growing number: one in twenty has the name, and the type, of another.
+        "provider_name": "concat('Provider ', s_suppkey - CASE WHEN s_suppkey % 20 = 16 THEN 4 ELSE 0 END)",
         "provider_type": _choose("s_suppkey % 4", "PCP", "Specialist", "FQHC", "Hospital"),
         "specialty_code": "concat('T', s_suppkey % 8)",
         "county_fips": _fips("s_nationkey"),
@@ -123,7 +125,7 @@ PROJECTIONS = {
     "fact_claims": {
         "claim_id": f"concat('CLM', {_padded('o_orderkey', 8)})",
         "member_id": _member("o_custkey"),
-        "provider_npi": _npi("o_orderkey % 100"),
+        "provider_npi": _npi("o_orderkey % suppliers"),
         "service_date": "o_orderdate",
         "claim_type": "CASE o_orderstatus WHEN 'F' THEN 'IP' WHEN 'O' THEN 'OP' WHEN 'P' THEN 'Prof' END",
         "dx_codes": """CASE o_orderkey % 4 WHEN 0 THEN array('E11.9') WHEN 1 THEN array('I10', 'E11.9')
@@ -186,7 +188,10 @@ class OrderStar(Star):
         return rows
 
     def _claimed_orders(self, needed: set[str], where: Where) -> DataFrame:
-        return _within_year(self.raw("orders"), "o_orderdate", where)
+        rows = _within_year(self.raw("orders"), "o_orderdate", where)
+        if "provider_npi" in needed:  # spread over all suppliers, whose keys run from 0
+            rows = rows.withColumn("suppliers", self.raw("supplier").agg(F.count("*").alias("suppliers")).scalar())
+        return rows
 
 
 def _within_year(rows: DataFrame, column: str, where: Where) -> DataFrame:

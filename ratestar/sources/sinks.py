@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ratestar.plans.views import CLAIMS, ENROLLMENT, QUALITY
 from ratestar.schema import TABLES, Table
-from ratestar.sources.star import Star
+from ratestar.sources.star import CatalogStar, Star
 
 
 def create_schema(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -35,10 +36,22 @@ def _literal(text: str) -> str:
 
 
 def create_table(spark: SparkSession, database: str, name: str, replace: bool = True) -> None:
-    """An empty typed table with comments, NOT NULL marks and properties."""
-    table = TABLES[name]
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    """An empty typed table with comments, NOT NULL marks and properties.
+
+    A table that is there gives way only once the new one stands under another
+    name, so a definition that fails leaves it as it was.
+    """
+    if replace and spark.catalog.tableExists(f"{database}.{name}"):
+        fresh = f"{name}__fresh"
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{fresh}")
+        _create(spark, database, fresh, TABLES[name])
+        spark.sql(f"DROP TABLE {database}.{name}")
+        spark.sql(f"ALTER TABLE {database}.{fresh} RENAME TO {database}.{name}")
+    else:
+        _create(spark, database, name, TABLES[name])
+
+
+def _create(spark: SparkSession, database: str, name: str, table: Table) -> None:
     columns = ", ".join(
         f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'} COMMENT {_literal(f.metadata['comment'])}"
         for f in table.columns)
@@ -75,8 +88,33 @@ def append(df: DataFrame, database: str, name: str) -> None:
     _write(df, database, name, overwrite=False)
 
 
-def load_star(star: Star, spark: SparkSession, database: str) -> None:
-    """Write all seven tables, dimensions first."""
+def with_member_attributes(star: Star, fact: str, attributes: tuple[str, ...]) -> DataFrame:
+    """Rows of a fact whose named columns are those of its member; empty where the member is unknown.
+
+    Hot members are left to adaptive execution, which splits their side of the join.
+    """
+    names = TABLES[fact].columns.names
+    joined = star.join(fact, "dim_member", [c for c in names if c not in (*attributes, "member_id")], attributes, how="left")
+    return joined.select(*names)
+
+
+#: Facts that carry attributes of their member, and which.
+MEMBER_ATTRIBUTES = {"fact_quality_events": ("county_fips",), "fact_enrollment": ("aid_category", "county_fips")}
+
+
+def load_star(star: Star, spark: SparkSession, database: str, attributes_at_load: bool = False) -> None:
+    """Write all seven tables, dimensions first.
+
+    Raises, before facts are written, if a table that a view joins repeats its
+    key. With ``attributes_at_load`` facts take the attributes of their member
+    from the member table instead of from the source.
+    """
     create_schema(spark, database)
+    loaded = CatalogStar(spark, database)
     for name in TABLES:
-        full_refresh(star.table(name), database, name)
+        if name == "fact_quality_events":
+            for view in (QUALITY, ENROLLMENT, CLAIMS):
+                view.check_keys(loaded)
+        rows = (with_member_attributes(star, name, MEMBER_ATTRIBUTES[name])
+                if attributes_at_load and name in MEMBER_ATTRIBUTES else star.table(name))
+        full_refresh(rows, database, name)

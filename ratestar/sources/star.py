@@ -11,7 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ratestar.schema import TABLES, edge_between
+from ratestar.schema import TABLES, Table, edge_between
 
 Where = Mapping[str, Any]
 
@@ -33,17 +33,16 @@ def narrow(df: DataFrame, columns: Iterable[str] | None, where: Where | None) ->
     return df if columns is None else df.select(*columns)
 
 
-BROADCAST_ROWS = 100_000  # rows of a few short columns: some megabytes
-
-
 class Star:
-    """Base of all sources; subclasses supply ``_read``."""
+    """Base of all sources; subclasses supply ``_read``, and ``tables`` if they hold others than the star's."""
+
+    tables: Mapping[str, Table] = TABLES
 
     def table(self, name: str, columns: Iterable[str] | None = None, where: Where | None = None) -> DataFrame:
-        if name not in TABLES:
+        if name not in self.tables:
             raise ValueError(f"unknown table {name}")
         columns = None if columns is None else list(dict.fromkeys(columns))
-        known = TABLES[name].columns.names
+        known = self.tables[name].columns.names
         unknown = [c for c in [*(columns or []), *(where or {})] if c not in known]
         if unknown:
             raise ValueError(f"{name} has no column {', '.join(unknown)}")
@@ -53,18 +52,6 @@ class Star:
     def _read(self, name: str, needed: set[str], where: Where) -> DataFrame:
         raise NotImplementedError
 
-    def fits_broadcast(self, name: str) -> bool:
-        """Whether a reference table is small enough to send to every executor, by counting.
-
-        Tables that grow with the data are not counted; the answer is kept.
-        """
-        sizes = self.__dict__.setdefault("_fits", {})
-        if name not in sizes:
-            table = TABLES[name]
-            sizes[name] = table.reference and (
-                self.table(name, table.keys[0]).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS)
-        return sizes[name]
-
     def join(self, left: str, right: str, left_columns: Iterable[str], right_columns: Iterable[str],
              how: str = "inner") -> DataFrame:
         """Rows of one registered many-to-one edge.
@@ -111,8 +98,8 @@ class ParquetStar(Star):
 class FrameStar(Star):
     """Given DataFrames; missing tables raise on use."""
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
-        self.frames = dict(frames)
+    def __init__(self, frames: Mapping[str, DataFrame], tables: Mapping[str, Table] = TABLES):
+        self.frames, self.tables = dict(frames), tables
 
     def _read(self, name: str, needed: set[str], where: Where) -> DataFrame:
         return self.frames[name]

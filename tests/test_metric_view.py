@@ -1,11 +1,14 @@
+import dataclasses
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from frames import event, measure, provider, rows_of, star_of
-from ratestar.operators.metric_view import Count, Dimension, Distinct, MetricView
+from ratestar.operators.metric_view import Condition, Count, Dimension, Distinct, MetricView, Sum
 from ratestar.plans.views import CLAIMS, ENROLLMENT, QUALITY
+from ratestar.schema import TABLES, Table
+from ratestar.sources.star import FrameStar
 
 COUNTS = ["numerator", "denominator", "exclusion_count", "total_events"]
 
@@ -118,7 +121,7 @@ def test_repeated_dimension_key_is_found(spark):
 
 
 def test_view_has_the_documented_size():
-    assert len(QUALITY.dimensions) == 22 and len(QUALITY.measures) == 8
+    assert sum(d.value is None for d in QUALITY.dimensions) == 22 and len(QUALITY.measures) == 8
     assert all(QUALITY.describe().values())
 
 
@@ -187,7 +190,7 @@ def exchanges(plan):
 def test_distinct_counts_over_small_tables_shuffle_the_fact_once(star, monkeypatch):
     asked = (star, ["region", "measurement_year"], ["distinct_members", "denominator", "distinct_providers"])
     direct = QUALITY.query(*asked)
-    monkeypatch.setitem(star._fits, "dim_county", False)
+    monkeypatch.setitem(TABLES, "dim_county", dataclasses.replace(TABLES["dim_county"], reference=False))
     reduced = QUALITY.query(*asked)
     assert "Expand" in plan_of(direct) and "partial_count" in plan_of(direct)
     assert exchanges(plan_of(direct)) == exchanges(plan_of(reduced)) - 1
@@ -195,24 +198,63 @@ def test_distinct_counts_over_small_tables_shuffle_the_fact_once(star, monkeypat
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_both_ways_agree_on_unmatched_and_empty_values(spark, how):
+def test_both_ways_agree_on_unmatched_and_empty_values(spark, how, monkeypatch):
     def star():
         return star_of(spark, dim_measure=[measure(), measure("M2", "Two")], fact_quality_events=[
             event(), event("M2", member_id=None), event("M9", provider_npi=None), event(None), event(excluded=None)])
     asked = ["distinct_members", "distinct_providers", "total_events", "numerator", "gap_to_threshold"]
-    small, large = star(), star()
-    large._fits = {"dim_measure": False}
-    for dimensions in (["measure_name"], ["measure_id", "measure_name", "quarter"]):
-        for measures in (asked, asked[:1], asked[:1] + asked[2:]):
-            results = [rows_of(QUALITY.query(s, dimensions, measures, how=how)) for s in (small, large)]
-            assert results[0] == results[1]
-
-
-def test_only_small_reference_tables_are_broadcast(spark, monkeypatch):
-    star = star_of(spark, dim_measure=[measure(), measure("M2")], dim_provider=[provider()])
-    assert star.fits_broadcast("dim_measure") and not star.fits_broadcast("dim_provider")
-    monkeypatch.setattr("ratestar.sources.star.BROADCAST_ROWS", 1)
-    assert not star_of(spark, dim_measure=[measure(), measure("M2")]).fits_broadcast("dim_measure")
+    results = []
+    for reference in (True, False):
+        monkeypatch.setitem(TABLES, "dim_measure", dataclasses.replace(TABLES["dim_measure"], reference=reference))
+        results.append([rows_of(QUALITY.query(star(), dimensions, measures, how=how))
+                        for dimensions in (["measure_name"], ["measure_id", "measure_name", "quarter"])
+                        for measures in (asked, asked[:1], asked[:1] + asked[2:])])
+    assert results[0] == results[1]
+
+
+def test_building_a_query_starts_no_job(spark, star):
+    group = f"build-{id(star)}"
+    spark.sparkContext.setJobGroup(group, "no jobs")
+    try:
+        QUALITY.query(star, ["region", "provider_type", "aid_category", "quarter_label"], ["distinct_members", "numerator"],
+                      where={"measure_category": "Diabetes"})
+        assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rows_of_two_growing_tables_are_joined_under_salted_keys(star):
+    plan = plan_of(QUALITY.query(star, ["provider_type", "aid_category"], ["numerator", "distinct_members"]))
+    assert plan.count("_salt") and "_part" in plan
+    assert "_salt" not in plan_of(QUALITY.query(star, ["provider_type"], ["numerator", "distinct_members"]))
+
+
+def test_conditions_over_one_and_two_tables(spark):
+    star = star_of(spark, dim_measure=[measure(), measure("M2", "Two", high_priority_flag=False)], dim_provider=[provider(), provider("P2", "Bob", "FQHC")],
+                   fact_quality_events=[event(), event("M2"), event("M2", provider_npi="P2", quarter=2), event("M1", provider_npi="P2", quarter=3), event(None, quarter=2)])
+    either = Condition(("high_priority_flag", "provider_type"), lambda col: col("high_priority_flag") | (col("provider_type") == "FQHC"))
+    second = Condition(("quarter",), lambda col: col("quarter") == 2)
+    mixed = Condition(("quarter", "high_priority_flag"), lambda col: (col("quarter") == 1) & col("high_priority_flag"))
+    assert rows_of(QUALITY.query(star, [], ["total_events"], conditions=[either])) == [(3,)]
+    assert rows_of(QUALITY.query(star, ["measure_name"], ["total_events", "distinct_providers"], conditions=[either])) == [("One", 2, 2), ("Two", 1, 1)]
+    assert rows_of(QUALITY.query(star, ["quarter"], ["total_events"], conditions=[second])) == [(2, 2)]
+    assert rows_of(QUALITY.query(star, ["measure_id"], ["total_events"], conditions=[mixed])) == [("M1", 1)]
+    assert rows_of(QUALITY.query(star, ["quarter_label"], ["total_events"], where={"quarter_label": ["2000-Q2", "2000-Q3"]})) == [("2000-Q2", 2), ("2000-Q3", 1)]
+
+
+def test_a_view_over_tables_of_ones_own(spark):
+    schema = T.StructType([T.StructField("shop", T.StringType()), T.StructField("pieces", T.IntegerType())])
+    tables = {"sales": Table("sales", "", schema, ()),
+              "shops": Table("shops", "", T.StructType([T.StructField("shop", T.StringType()), T.StructField("city", T.StringType())]), (("shop",),))}
+    star = FrameStar({"sales": spark.createDataFrame([("a", 2), ("a", 3), ("b", 4), ("c", 1)], schema),
+                      "shops": spark.createDataFrame([("a", "X"), ("b", "X")], tables["shops"].columns)}, tables)
+    view = MetricView("sold", "sales", ("shops",), (Dimension("city", "shops", "city"),), (Sum("pieces", "pieces"), Count("sales")),
+                      tables=tables, keys={"shops": "shop"})
+    assert rows_of(view.query(star, ["city"], ["pieces", "sales"])) == [("X", 9, 3), (None, 1, 1)]
+    view.check_keys(star)
+    star.frames["shops"] = star.frames["shops"].union(star.frames["shops"])
+    with pytest.raises(ValueError):
+        view.check_keys(star)
 
 
 def test_a_joined_column_may_share_its_name_with_one_a_measure_reads(spark):

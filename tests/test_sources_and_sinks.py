@@ -1,4 +1,8 @@
+import dataclasses
 import datetime as dt
+import os
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
@@ -76,6 +80,36 @@ def test_append_adds_rows_by_name_and_casts(spark, database):
     assert spark.table(f"{database}.dim_county").count() == 0
 
 
+def test_a_definition_that_fails_leaves_the_old_table(spark, database, monkeypatch):
+    rows = frame(spark, "dim_county", [{"county_fips": "1", "county_name": "Kings", "state_code": "CA"}])
+    sinks.full_refresh(rows, database, "dim_county")
+    monkeypatch.setitem(TABLES, "dim_county", dataclasses.replace(TABLES["dim_county"], partition_by=("nowhere",)))
+    with pytest.raises(Exception):
+        sinks.create_table(spark, database, "dim_county")
+    assert spark.table(f"{database}.dim_county").count() == 1
+
+
+def test_scratch_folders_go_with_the_application(tmp_path):
+    script = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from ratestar.session import build_session, scratch_folder
+spark = build_session("local[1]", spark_ui_enabled="false", spark_checkpoint_dir={str(tmp_path)!r})
+spark.range(5).write.parquet(scratch_folder(spark, "x") + "/rows")
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=120, capture_output=True)
+    assert not [p for p in tmp_path.rglob("*.parquet")]
+
+
+def test_members_give_their_attributes_to_facts_at_load(spark):
+    star = star_of(spark, dim_member=[{"member_id": "A", "county_fips": "9", "aid_category": "X"}],
+                   fact_quality_events=[event(county_fips="old"), event(member_id="B", county_fips="old")])
+    rows = sinks.with_member_attributes(star, "fact_quality_events", ("county_fips",))
+    assert rows.columns == TABLES["fact_quality_events"].columns.names
+    assert rows_of(rows.select("member_id", "county_fips")) == [("A", "9"), ("B", None)]
+
+
 def test_append_refuses_amounts_that_do_not_fit(spark, database):
     sinks.create_table(spark, database, "dim_measure")
     wide = frame(spark, "dim_measure", [measure()]).withColumn("regulatory_threshold", F.lit(Decimal("1000.0")))
