@@ -32,6 +32,8 @@ def differences(con, df, sql):
     if wrong:
         return [f"types {wrong}"]
     theirs = sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=_sortable)
+    if not ours:
+        return ["no rows, which proves nothing"]
     if len(ours) != len(theirs):
         return [f"{len(ours)} rows against {len(theirs)}"]
     return [f"{dict(zip(names, a))} against {dict(zip(names, b))}"

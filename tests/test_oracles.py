@@ -70,12 +70,3 @@ def test_questions_come_in_order(spark, question):
                 key.append((value is not None, "" if value is None else value))
         keys.append(tuple(key))
     assert keys == sorted(keys) and len(keys) > 1
-
-
-def test_no_query_is_empty(spark):
-    empty = [name for name, query in QUERIES.items() if name not in NEVER_FULL and query(spark, SF_DIR).isEmpty()]
-    assert not empty
-
-
-#: Checks that find nothing wrong have no rows.
-NEVER_FULL = set()
