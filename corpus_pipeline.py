@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratestar.llm import byte_bpe, decontamination, jaccard_join, substring_dedup, toxicity
-from ratestar.session import checkpoint_folder
+from ratestar.session import scratch_folder
 
 #: Near-duplicates: shingles of so many words, Jaccard similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -83,11 +83,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The folder with the results goes when the application ends.
     """
-    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(path)
-    files.deleteOnExit(path)
+    folder = scratch_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES, 1):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}-{name}")
