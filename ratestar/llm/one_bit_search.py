@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratestar.llm.package import ship
+from ratestar.session import cut_lineage
 
 #: Rows and queries in a block.
 ROW_BLOCK, QUERY_BLOCK = 16_384, 2_048
@@ -58,10 +59,24 @@ def estimates(codes: np.ndarray, alignment: np.ndarray, turned_queries: np.ndarr
     return (signs @ turned_queries.T) / (alignment[:, None].astype(np.float32) * math.sqrt(size))
 
 
+def _kth_best(scores: np.ndarray, ids: np.ndarray, k: int) -> float:
+    """The k-th largest score where an id counts once, with its best; -inf with fewer ids."""
+    for some in (min(4 * k, len(ids)), len(ids)):  # nearly always the best rows have enough ids
+        best = np.argpartition(scores, len(ids) - some)[len(ids) - some:] if some < len(ids) else np.arange(len(ids))
+        best = best[np.argsort(-scores[best])]
+        first = np.sort(np.unique(ids[best], return_index=True)[1])
+        if len(first) >= k:
+            return scores[best[first[k - 1]]]
+    return -np.inf
+
+
 def search_block(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, length: np.ndarray, alignment: np.ndarray,
                  query_ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, k: int, width: float = WIDTH,
                  ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the ids and exact inner products of the k best rows of the block, best first."""
+    """For each query the k best ids of the block and their exact inner products, best first.
+
+    Of rows that share an id the best one counts.
+    """
     size = vectors.shape[1]
     error = width * np.sqrt(np.maximum(0.0, 1 - alignment ** 2)) / (alignment * math.sqrt(max(1, size - 1)))
     step = max(1, (8 << 20) // max(1, len(ids)))
@@ -74,19 +89,19 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, length
         sure = min(4 * k + 1, len(ids))  # one more, as the query itself may be among them
         first = np.argpartition(middle, len(ids) - sure, axis=0)[len(ids) - sure:]
         for j, (query_id, query) in enumerate(zip(query_ids[begin:begin + step], own)):
-            # The k-th best of the rows with the best estimates; what can't reach it is never compared.
+            # The k-th best id of the rows with the best estimates; what can't reach it is never compared.
             known = first[:, j][ids[first[:, j]] != query_id]
-            floor = np.sort(vectors[known] @ query)[-k] if len(known) >= k else -np.inf
+            floor = _kth_best(vectors[known] @ query, ids[known], k)
             rows = np.flatnonzero((middle[:, j] + half[:, 0] * np.float32(query_length[j]) >= floor - 1e-5 * abs(floor)) & (ids != query_id))
             if not len(rows):
                 continue
             # Summed from left to right, so that equal vectors have equal scores in every block.
             if len(rows) > 4 * k:
                 rough = vectors[rows] @ query
-                rows = rows[rough >= np.partition(rough, len(rows) - k)[len(rows) - k] - 1e-9 * (np.abs(rough).max() + 1e-300)]
+                rows = rows[rough >= _kth_best(rough, ids[rows], k) - 1e-9 * (np.abs(rough).max() + 1e-300)]
             score = np.cumsum(vectors[rows] * query, axis=1)[:, -1]
             order = np.lexsort((ids[rows], -score))
-            # A repeated row counts once.
+            # An id counts once.
             order = order[np.sort(np.unique(ids[rows][order], return_index=True)[1])][:k]
             yield int(query_id), ids[rows][order], score[order]
 
@@ -109,8 +124,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
 
     Returns query_id, rank (from 1), vec_id and score (the exact inner product in
     double precision), ties to the smaller id; rows with the query's own id are
-    no candidates, and rows that repeat an id and vector count once. Left out
-    are null ids and vectors that are null, empty or zero or hold null or
+    no candidates, and rows that repeat an id and vector count once. An id with
+    several vectors asks with and is found by each of them, and is listed once,
+    with its best score. Left out are null ids and vectors that are null, empty or zero or hold null or
     non-finite components. Where lengths differ, vectors of the most frequent
     length take part (of equally frequent ones the longest). With fewer than k
     candidates all are returned; without any, a query has no rows. Other columns
@@ -118,8 +134,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     """
     ship(vectors.sparkSession)
     rows = (vectors.where(usable(vector_col) & F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"),
-                    F.coalesce(queries, F.lit(False)).alias("asks")))
+            .select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks")))
+    # Repeated rows go before rows are counted and dealt; written once for the counts and both sides of the search.
+    rows = cut_lineage(rows.groupBy("id", "vector").agg(F.max("asks").alias("asks"))).withColumn("vector", F.col("vector").cast("array<double>"))
     shape = (rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"), F.count_if("asks").alias("asking"))
              .orderBy(F.desc("n"), F.desc("size")).first())
     if shape is None:
@@ -157,7 +174,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     best = (indexed.groupBy("row_block", "query_block").cogroup(asked.groupBy("row_block", "query_block"))
             .applyInArrow(search, "query_id long, vec_id long, score double"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.distinct().withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return (best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            .withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 
 def op5_one_bit_search(spark, sf_dir: str) -> DataFrame:

@@ -56,6 +56,27 @@ def test_neighbours_of_odd_rows(spark):
     assert one_bit_search.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_repeated_rows_take_no_places(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(12)]) for i in range(400)]
+    want = exact(rows, lambda i: i % 40 == 0, 20)
+    near = {i: rows[i][1] for i in (want[0][0][0], want[40][0][0])}
+    twice = rows * 2 + list(near.items()) * 300
+    for blocks in ({}, {"row_block": 100, "query_block": 4}):
+        df = spark.createDataFrame(twice, "vec_id long, embedding array<float>")
+        assert found(one_bit_search.nearest(df, F.col("vec_id") % 40 == 0, **blocks)) == want
+
+
+def test_an_id_with_many_vectors_takes_one_place(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(12)]) for i in range(400)]
+    best = exact(rows, lambda i: i == 0, 1)[0][0][0]
+    copies = [(best, [float(np.float32(x * (1 + j / 1000))) for x in dict(rows)[best]]) for j in range(1, 300)]
+    want = exact([(i, v) for i, v in rows if i != best] + copies[-1:], lambda i: i == 0, 20)
+    df = spark.createDataFrame(rows + copies, "vec_id long, embedding array<float>")
+    assert found(one_bit_search.nearest(df, F.col("vec_id") == 0)) == want
+
+
 def test_recall_and_error_bound(spark):
     vectors = spark.read.parquet(SF_DIR.rsplit("/", 1)[0] + "/sf0.1/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
