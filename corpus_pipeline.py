@@ -26,7 +26,7 @@ def _documents(found: DataFrame, docs: DataFrame, text: str, changed: Column) ->
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score under 0.5; learnt from the labels table."""
+    """Documents with a toxicity score under 0.5; learnt from the labels table. Without labels to learn from all stay."""
     model = toxicity.learn_from_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     score = f"score_{uuid.uuid4().hex}"
     return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])

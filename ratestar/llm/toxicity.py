@@ -25,6 +25,8 @@ from ratestar.llm.words import Words, byte_class, mix, slices, split_words
 #: `[^\x00-\x26\x28-\x2F\x3A-\x60\x7B-\x7F]+` of lower-cased text: letters, digits, apostrophes, all beyond ASCII.
 _WORD = byte_class((0x00, 0x26), (0x28, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 _U = np.uint64
+#: The bias of a model that has learnt from no rows: a score of 0.27.
+UNLEARNT_BIAS = -1.0
 
 
 @dataclass(frozen=True)
@@ -116,8 +118,9 @@ def learn(labelled: DataFrame, text_col: str, label_col: str, order: Column, set
 
     `order` is any hash of the rows: where there are more than about
     settings.sample_rows of them, those with the smallest values of it are the
-    sample, and it is also the order of learning. Without rows of either label
-    the model scores all texts alike. The same rows give the same model.
+    sample, and it is also the order of learning. Without any rows with label 0
+    or 1 nothing speaks against a text: the model scores all alike, under 0.5
+    (UNLEARNT_BIAS). The same rows give the same model.
     """
     spark = labelled.sparkSession
     ship(spark)
@@ -152,6 +155,8 @@ def learn(labelled: DataFrame, text_col: str, label_col: str, order: Column, set
 
     found = (rows.mapInArrow(tidy_batches(vectors), "label int, place long, feature array<int>").repartition(1)
              .mapInArrow(tidy_batches(train), "feature long, weight double").toArrow())
+    if not len(found):
+        return Model(settings, np.array([1 << settings.hash_bits]), np.array([UNLEARNT_BIAS]))
     return Model(settings, found.column("feature").to_numpy(), found.column("weight").to_numpy())
 
 
@@ -197,7 +202,8 @@ def learn_from_labels(docs: DataFrame, labels: DataFrame, settings: Settings = S
 
     The sample is drawn from the labels, so that only its ids (at most about
     settings.sample_rows) are broadcast to the documents. Labels with null id or
-    null toxic are left out; repeated equal labels count once.
+    null toxic are left out; repeated equal labels count once. If none is left,
+    or none that has a document, all scores are under 0.5, as in `learn`.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "toxic").distinct()
     count = known.count()

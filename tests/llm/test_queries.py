@@ -13,7 +13,7 @@ import brute
 import corpus_pipeline
 from compare import differences
 from conftest import SF_DIR
-from ratestar.llm import queries
+from ratestar.llm import queries, toxicity
 from ratestar.llm.byte_bpe import read_ranks
 
 
@@ -79,6 +79,19 @@ def test_pipeline(spark, tmp_path):
         assert rows[row["doc_id"]]["decoded_sha256"] == hashlib.sha256(row["text"].encode()).hexdigest()
 
 
+def test_no_labels_drop_no_documents(spark, tmp_path):
+    sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    nobody = labels.where("toxic = 1").limit(5).withColumn("doc_id", -1 - F.col("doc_id"))
+    for name, some in (("none", labels.limit(0)), ("held_out", labels.where(toxicity.held_out())), ("no_match", nobody)):
+        some.write.parquet(str(tmp_path / name / "labels.parquet"))
+        kept = corpus_pipeline.without_toxic(spark, docs, str(tmp_path / name))
+        assert kept.count() == docs.count() and kept.exceptAll(docs).isEmpty()
+    docs.write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert queries.QUERIES["op1_toxicity"](spark, str(tmp_path / "none")).where("predicted = 1 OR score >= 0.5").isEmpty()
+
+
 def test_run_reads_nothing_twice(spark):
     sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
     found = corpus_pipeline.run(spark, sf_dir)
