@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratestar.llm import byte_bpe, decontamination, jaccard_join, substring_dedup, toxicity
-from ratestar.session import scratch_folder
+from ratestar.session import cut_lineage, scratch_folder
 
 #: Near-duplicates: shingles of so many words, Jaccard similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -35,14 +35,28 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near-duplicates.
 
-    Of rows that repeat an id one stays, the smallest in the order of their
-    other columns. Rows without an id stay.
+    Of rows that repeat an id and a text one stays, the smallest in the order of
+    their other columns; of an id's texts without words one. Different texts of
+    one id are documents of their own, each with its own near-duplicates. Rows
+    without an id stay.
     """
-    found = jaccard_join.jaccard_components(docs, width=SHINGLE, percent=PERCENT)
-    kept = found.where("doc_id = component_id").select("doc_id")
+    known = docs.where("doc_id IS NOT NULL")
+    digest = F.xxhash64("text")
+    several = known.groupBy("doc_id").agg(F.min(digest).alias("least"), F.max(digest).alias("most")).where("least <> most")
     others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    one = (docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row"))
-           .select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns]))
+    if several.isEmpty():
+        found = jaccard_join.jaccard_components(docs, width=SHINGLE, percent=PERCENT)
+        kept = found.where("doc_id = component_id").select("doc_id")
+        one = (docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row"))
+               .select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns]))
+    else:
+        # The join takes rows of one id for one node, so here each row gets a number of its own.
+        rows = cut_lineage(known.select(F.monotonically_increasing_id().alias("number"), F.struct("doc_id", *others).alias("row")))
+        found = jaccard_join.jaccard_components(rows.select("number", F.col("row.text").alias("text")), "number", width=SHINGLE, percent=PERCENT)
+        wordless = F.when(F.col("n_shingles") == 0, F.col("row.doc_id"))
+        group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
+        one = (rows.join(found, "number").groupBy(group.alias("group"), wordless.alias("wordless")).agg(F.min("row").alias("row"))
+               .select(*[F.col("row")[c].alias(c) for c in docs.columns]))
     return one.unionByName(docs.where("doc_id IS NULL"))
 
 

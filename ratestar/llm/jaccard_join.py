@@ -244,8 +244,24 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), unshared.alias("ub"), F.col("hashes").alias("y")), "b"))
 
 
-def _linked(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, comp) of all linked sets. entries: (entry, id, unshared)."""
+def _same_id(members: DataFrame, shared: DataFrame) -> DataFrame | None:
+    """(a, b): an id with different sets, and the class of each of them; None without such ids.
+
+    An id that is a class's name has a row in that class, so it stands for all its rows.
+    """
+    known = members.where("id IS NOT NULL")
+    kind = F.struct("s1", "s2", "n_shingles")
+    several = cut_lineage(known.groupBy("id").agg(F.min(kind).alias("least"), F.max(kind).alias("most")).where("least <> most").select("id"))
+    if several.isEmpty():
+        return None
+    sets = (known.join(several, "id", "left_semi").where("n_shingles > 0").select("id", "s1", "s2", "n_shingles").distinct()
+            .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")))
+    return cut_lineage(sets.join(shared, ["s1", "s2", "n_shingles", "salt"]).where("id <> class_id")
+                       .select(F.col("id").alias("a"), F.col("class_id").alias("b")))
+
+
+def _linked(entries: DataFrame, sets: DataFrame, percent: int, same: DataFrame | None = None) -> DataFrame:
+    """(id, comp) of all linked sets. entries: (entry, id, unshared); same: links (a, b) besides those of the sets."""
     pivots = (entries.groupBy("entry").agg(F.min(F.struct("unshared", "id")).alias("pivot"), F.count("*").alias("size"))
               .where("size > 1").select("entry", F.col("pivot.id").alias("a")))
     # Entries that meet nobody go; of the others each member is compared with the pivot, once for all its entries.
@@ -255,6 +271,8 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(tidy_batches(lambda batches: _differences(batches, percent)),
                     "pivot long, id long, n long, unshared long, linked boolean, d long, member array<long>, other array<long>"))
     links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    if same is not None:
+        links = links.unionAll(same)
     comps = cut_lineage(components(links))
     # Members outside their pivot's component, against all members: those pairs that their differences don't rule out.
     labelled = (compared.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
@@ -331,10 +349,11 @@ def jaccard_components(
     notes = answers.unionByName(reps, allowMissingColumns=True)
     sets = cut_lineage(dealt.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(tidy_cogroup(index), _ENTRY))
     unshared = (F.col("n") - F.octet_length("hashes") / 8).cast("long").alias("unshared")
-    linked = _linked(sets.select(F.explode("entries").alias("entry"), "id", unshared), sets.select("id", "n", "hashes"), percent)
     # Only classes of several documents are looked up, and a large one under several keys.
     shared = (classes.where("size > 1").select("s1", "s2", "n_shingles", F.col("rep.id").alias("class_id"))
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    linked = _linked(sets.select(F.explode("entries").alias("entry"), "id", unshared), sets.select("id", "n", "hashes"), percent,
+                     _same_id(members, shared))
     keyed = (members.withColumn("salt", F.pmod(F.xxhash64("id", "chunk"), F.lit(SALTS)).cast("int"))
              .join(shared, ["s1", "s2", "n_shingles", "salt"], "left"))
     own = F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "id")).otherwise(F.col("id"))

@@ -92,6 +92,15 @@ def test_no_labels_drop_no_documents(spark, tmp_path):
     assert queries.QUERIES["op1_toxicity"](spark, str(tmp_path / "none")).where("predicted = 1 OR score >= 0.5").isEmpty()
 
 
+def test_different_texts_of_an_id_are_judged_each(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    rows = [(3, a, "y"), (5, a, "x"), (5, b, "x"), (7, b + "end", "x"), (8, c, "y"), (8, c, "x"), (8, b, "x"), (9, None, "x"), (9, "", "x"),
+            (9, c, "x"), (None, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = [(3, a, "y"), (5, b, "x"), (8, c, "x"), (9, None, "x"), (None, a, "x")]
+    assert sorted(map(tuple, corpus_pipeline.without_near_duplicates(spark, docs, "").collect()), key=str) == sorted(want, key=str)
+
+
 def test_run_reads_nothing_twice(spark):
     sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
     found = corpus_pipeline.run(spark, sf_dir)

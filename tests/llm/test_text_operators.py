@@ -55,6 +55,13 @@ def test_components_of_odd_rows(odd, nothing):
     assert jaccard_join.jaccard_components(nothing).count() == 0
 
 
+def test_an_id_with_different_texts_is_one_node(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(20)) for x in "abc")
+    rows = [(3, a, ""), (5, a, ""), (5, b, ""), (7, b, ""), (8, c, ""), (9, c, ""), (9, None, ""), (6, "x", ""), (6, "y", ""), (2, "y", "")]
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(frame(spark, rows)).collect())
+    assert got == sorted([(3, 3), (5, 3), (5, 3), (7, 3), (8, 8), (9, 8), (9, 8), (6, 2), (6, 2), (2, 2)])
+
+
 def family(rng, fam, docs):
     base = [f"w{fam}_{i}" for i in range(rng.choice([9, 14, 30, 60, 120]))]
     for _ in range(50):
