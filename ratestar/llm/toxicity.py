@@ -33,7 +33,7 @@ UNLEARNT_BIAS = -1.0
 class Settings:
     """Parameters of learning. sample_rows bounds the labelled documents learnt from."""
 
-    hash_bits: int = 21
+    hash_bits: int = 22
     skips: tuple[int, ...] = (1, 2, 3)
     alpha: float = 2.0
     beta: float = 1.0
@@ -41,7 +41,7 @@ class Settings:
     l2: float = 1.0
     positive_weight: float = 2.0
     passes: int = 3
-    sample_rows: int = 16_000
+    sample_rows: int = 24_000
     seed: int = 17
 
 

@@ -208,6 +208,10 @@ def test_ftrl_update_is_that_of_the_paper():
     assert np.allclose(model.z, z) and np.allclose(model.n, n)
 
 
+def test_toxicity_settings_are_not_lowered():
+    assert toxicity.Settings().sample_rows >= 24_000 and toxicity.Settings().hash_bits >= 22
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.1"
     rows = (toxicity.op1_toxicity(spark, sf_dir).where("held_out")
