@@ -163,6 +163,8 @@ def parse_blocks(page: str) -> list[Block]:
             continue
         if name in _SKIPPED:
             close_block()
+            if name in ("svg", "math") and token[0].endswith("/>"):
+                continue
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else size
             continue

@@ -123,6 +123,11 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["<svg/>", '<SVG class="icon" />', "<math />", "<svg><path/></svg>"])
+def test_self_closed_elements_hide_nothing(tag):
+    assert html_extract.main_text(f"<div>{tag}</div><article><p>text of it</p></article>") == "text of it"
+
+
 def test_deep_and_long_pages():
     assert html_extract.main_text("<div>" * 3000 + "<article><p>deep text</p></article>") == "deep text"
     many = html_extract.main_text("<article>" + "<p>some words here</p>" * 20_000 + "</article>")
