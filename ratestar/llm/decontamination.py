@@ -12,7 +12,7 @@ are long enough for the shortest phrase; all other text falls out before the
 suffixes are sorted.
 
 The benchmark reaches the tasks in blocks of a bounded number of words, each
-its own broadcast and its own pass; the passes are chained in one stage, and
+its own broadcast and its own pass; a few passes are chained in one stage, and
 each adds to the spans and items found before.
 """
 
@@ -29,12 +29,15 @@ from ratestar.llm.fm_index import FmIndex
 from ratestar.llm.memory import tidy_batches
 from ratestar.llm.package import ship
 from ratestar.llm.words import ALPHANUMERIC, Words, slices, split_words
+from ratestar.session import cut_lineage
 
 WINDOW = 10
 #: Text in a shard with one index.
 SHARD_BYTES = 4 << 20
 #: Words of benchmark items in one broadcast (8 bytes each, and again 80 as phrases in a worker).
 BLOCK_WORDS = 1 << 20
+#: Passes over the documents, a block each, in one stage; between more of them the rows are written.
+CHAINED = 4
 
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
@@ -161,7 +164,7 @@ _built: dict[int, Phrases] = {}
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """The items' word hashes, in blocks of about block_words words; a block at a time comes to the driver."""
+    """The items' word hashes, in blocks of about block_words words; a block at a time comes to the driver. At least one, if empty."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = split_words(batch.column("text"), ALPHANUMERIC, lower=True)
@@ -174,10 +177,10 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
     items = (benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
              .mapInArrow(split, "item string, n long, words binary").where("n > 0"))
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    count = math.ceil(total / block_words)
+    count = math.ceil(total / block_words) or 1
     for block in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == block).select("item", "words").collect()
-        yield [(row["item"], np.frombuffer(row["words"], dtype=np.uint64)) for row in rows]
+        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == block).select("item", "words")
+        yield [(row["item"], np.frombuffer(row["words"], dtype=np.uint64)) for row in rows.collect()]
 
 
 def decontaminate(
@@ -223,9 +226,16 @@ def decontaminate(
 
         return run
 
-    blocks = list(_blocks(benchmark, item_col, item_text_col, block_words)) or [[]]
-    for block in blocks:
-        rows = rows.mapInArrow(tidy_batches(one_pass(_Block(spark.sparkContext.broadcast(block)))), schema)
+    chained: list[_Block] = []
+    for block in _blocks(benchmark, item_col, item_text_col, block_words):
+        if len(chained) == CHAINED:
+            rows = cut_lineage(rows)
+            for done in chained:
+                done.destroy()
+            chained = []
+        chained.append(_Block(spark.sparkContext.broadcast(block)))
+        del block  # the broadcast keeps it in a file
+        rows = rows.mapInArrow(tidy_batches(one_pass(chained[-1])), schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     found = rows.withColumn("n_hit", hit)
     if clean:
@@ -244,6 +254,10 @@ class _Block:
     def value(self) -> list[tuple[str, np.ndarray]]:
         return self._broadcast.value
 
+    def destroy(self) -> None:
+        """Frees it everywhere, once what was found with it is written."""
+        self._broadcast.destroy()
+
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:

@@ -159,6 +159,25 @@ def test_hits_in_odd_rows(spark, odd, settings):
     assert any(w[2] for w in want)
 
 
+def test_a_stage_holds_few_blocks_and_the_driver_one(spark, odd, monkeypatch):
+    items = spark.createDataFrame([(i, f"p{i} q{i} r{i}") for i in range(60)] + ITEMS, "item_id long, text string")
+    blocks, block, events = decontamination._blocks, decontamination._Block, []
+
+    def given(*args):
+        for own in blocks(*args):
+            events.append("given")
+            yield own
+
+    monkeypatch.setattr(decontamination, "_blocks", given)
+    monkeypatch.setattr(decontamination, "_Block", lambda shared: events.append("sent") or block(shared))
+    found = decontamination.decontaminate(odd, items, block_words=30)
+    assert events == ["given", "sent"] * (len(events) // 2) and len(events) > 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("MapInArrow") <= 4
+    whole = decontamination.decontaminate(odd, items)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_no_items_and_no_documents(spark, odd, nothing):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.decontaminate(odd, empty).where("n_hit > 0").count() == 0
