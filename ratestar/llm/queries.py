@@ -13,6 +13,7 @@ from ratestar.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from ratestar.llm.language_id import op4_language_id
 from ratestar.llm.one_bit_search import OP5_SQL, op5_one_bit_search
 from ratestar.llm.substring_dedup import OP8_SQL, op8_substring_dedup
+from ratestar.llm.token_files import op13_token_files
 from ratestar.llm.toxicity import op1_toxicity
 from ratestar.llm.url_filter import OP6_SQL, op6_url_filter
 from ratestar.llm.warc_revisits import OP7_SQL, op7_warc_revisits
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLES: dict[str, str] = {
