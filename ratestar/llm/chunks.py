@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 CHUNK_BYTES = 4 << 20
 #: Text whose hashes meet in one bucket.
 BUCKET_BYTES = 12 << 20
+#: A message should hold so many hashes at least, of one for each so many bytes of text.
+MESSAGE_HASHES, HASH_BYTES = 16, 6
 #: Rows in a chunk, where texts are short or missing.
 CHUNK_ROWS = 50_000
 
@@ -39,6 +41,12 @@ def text_bytes(docs: DataFrame, text: Column) -> tuple[int, int]:
     return row["size"], row["n"]
 
 
+def fitting(size: int) -> tuple[int, int]:
+    """Bytes of chunks and buckets for so much text: the least from where on messages have hashes enough."""
+    chunk = math.isqrt(MESSAGE_HASHES * HASH_BYTES * size * CHUNK_BYTES // BUCKET_BYTES)
+    return max(CHUNK_BYTES, chunk), max(BUCKET_BYTES, chunk * BUCKET_BYTES // CHUNK_BYTES)
+
+
 def chunk_count(size: int, rows: int, chunk_bytes: int = CHUNK_BYTES) -> int:
     return max(1, math.ceil(size / chunk_bytes), math.ceil(rows / CHUNK_ROWS))
 

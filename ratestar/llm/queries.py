@@ -11,7 +11,9 @@ from ratestar.llm.decontamination import OP9_SQL, op9_decontamination
 from ratestar.llm.html_extract import op3_html_extract
 from ratestar.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from ratestar.llm.language_id import op4_language_id
+from ratestar.llm.lexical_search import OP12_SQL, op12_lexical_search
 from ratestar.llm.one_bit_search import OP5_SQL, op5_one_bit_search
+from ratestar.llm.phrase_mining import OP11_SQL, op11_phrases
 from ratestar.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 from ratestar.llm.token_files import op13_token_files
 from ratestar.llm.toxicity import op1_toxicity
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_phrases": op11_phrases,
+    "op12_lexical_search": op12_lexical_search,
     "op13_token_files": op13_token_files,
 }
 
@@ -39,4 +43,6 @@ ORACLES: dict[str, str] = {
     "op7_warc_revisits": OP7_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_decontamination": OP9_SQL,
+    "op11_phrases": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
