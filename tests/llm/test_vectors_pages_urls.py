@@ -1,6 +1,7 @@
 """Vector search, HTML extraction, URL filter and WARC revisits on small and odd tables."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -135,6 +136,51 @@ def test_deep_and_long_pages():
     assert html_extract.main_text("<a " * 20_000) == "" and html_extract.main_text("<p \"" * 20_000) == ""
 
 
+LONG = "This is a sentence of an ordinary paragraph, with a clause or two and an end. " * 4
+
+
+@pytest.mark.parametrize("page, text", [
+    # Names of the article, or of its paragraphs, that also name boilerplate.
+    ('<body><nav><a href=x>Home</a></nav><article class="search-result print"><p>First words of it.</p><p>More.</p></article></body>', "First words of it. More."),
+    ('<div class="post-content tags-on"><p>First words of the post, and some more of them.</p></div>', "First words of the post, and some more of them."),
+    ('<article><p>One thing is said.</p><p class="more">Then another one.</p><p id="side-effects">And side effects.</p></article>',
+     "One thing is said. Then another one. And side effects."),
+    (f'<article><p>Start.</p><p class="ad">{LONG}</p><div class="ad">Buy now!</div></article>', "Start. " + " ".join(LONG.split())),
+    # An element that holds the whole text is not boilerplate for its name alone, nor is a form around the page.
+    (f'<body><div class="sidebar"><p>{LONG}</p><p>{LONG}</p></div></body>', " ".join((LONG + LONG).split())),
+    (f'<body><form id="aspnetForm"><div class="nav"><a href=x>a</a> <a href=y>b</a></div><p>{LONG}</p><p>{LONG}</p></form></body>', " ".join((LONG + LONG).split())),
+    # Without <article>: names, links and places in the tree.
+    (f'<body><div id="header"><a href="/">Site</a></div><div class="main-content"><h1>Title of it</h1><p>{LONG}</p><p>Short one.</p></div>'
+     f'<div class="sidebar"><h3>Popular</h3><p>{LONG}</p></div><div id="comments"><h3>Comments</h3><div class="comment"><p>{LONG}</p></div></div>'
+     '<div class="site-footer"><p>Copyright, all rights reserved by whoever wrote it.</p></div></body>', "Title of it " + " ".join((LONG + "Short one.").split())),
+    (f'<body><table><tr><td><a href=1>One</a><br><a href=2>Two</a><br><a href=3>Three</a></td><td><p>{LONG}</p><p>{LONG}</p></td></tr></table></body>',
+     " ".join((LONG + LONG).split())),
+    (f'<body><ul class="menu"><li><a href=1>One</a><li><a href=2>Two</a></ul><div><h1>Head</h1>{LONG}<p>{LONG}</p></div><ul class="pagination"><li><a href=3>3</a></ul></body>',
+     "Head " + " ".join((LONG + LONG).split())),
+    (f'<body><div role="main"><p>{LONG}</p></div><div role="navigation"><p>Go to one of many places from here, please.</p></div><div style="display: none"><p>{LONG}</p></div></body>',
+     " ".join(LONG.split())),
+    (f'<body><div class="story"><p>Short story, all of it is here, really, not more than that.</p></div><div class="comments"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>',
+     "Short story, all of it is here, really, not more than that.")])
+def test_no_single_name_decides(page, text):
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<article " + "a" * 2_000_000 + "><p>kept text</p></article>",
+    "<article " + "ab " * 600_000 + "><p>kept text</p></article>",
+    "<article a" + " " * 2_000_000 + "><p>kept text</p></article>",
+    "<div>" * 100_000 + "</span></section>" * 100_000 + "<article><p>kept text</p></article>",
+    "<x>" * 100_000 + "<y>" * 100_000 + "<article><p>kept text</p></article>",
+    "<li><div>" * 80_000 + "<article><p>kept text</p></article>",
+    "<article>" + ("<div>" * 500 + "<p>a" + "</div>" * 500) * 500 + "<p>kept text</p></article>",
+    "<article>" + "<p class='x y z'>some words of it, <a href=x>linked</a></p>" * 35_000 + "<p>kept text</p></article>"],
+    ids=["long name", "many names", "blanks", "stray ends", "unknown elements", "items", "deep blocks", "many blocks"])
+def test_parsing_is_linear(page):
+    begun = time.process_time()
+    found = html_extract.main_text(page)
+    assert found.endswith("kept text") and time.process_time() - begun < 8 * len(page) / 2e6 + 2
+
+
 def test_articles_of_the_table_are_found_whole(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     inner = F.regexp_extract("html", "(?s)<article>(.*?)(</article>|$)", 1)
