@@ -89,16 +89,38 @@ def test_recall_and_error_bound(spark):
         scores[q] = -np.inf
         hits += len({i for i, _ in neighbours} & set(np.argsort(-scores)[:20]))
     assert hits / (20 * len(got)) > 0.99 and len(got) == len(rows) // 20
-    turn = one_bit_search.rotation(matrix.shape[1])
-    assert np.allclose(turn @ turn.T, np.eye(len(turn)), atol=1e-5)
-    codes, length, alignment = one_bit_search.encode(matrix, turn)
-    queries = matrix[::40] / length[::40, None]
-    error = one_bit_search.estimates(codes, alignment, queries.astype(np.float32) @ turn.T) - (matrix / length[:, None]) @ queries.T
-    width = np.sqrt((1 - alignment ** 2) / (matrix.shape[1] - 1)) / alignment
+    turn = one_bit_search.Rotation(matrix.shape[1])
+    assert turn.bits == one_bit_search.LEAST_BITS and np.allclose(np.linalg.norm(turn(np.eye(64)), axis=1), 1, atol=1e-5)
+    codes, length, alignment, turned = one_bit_search.encode(matrix, turn)
+    error = one_bit_search.estimates(codes, alignment, turned[::40]) - (matrix / length[:, None]) @ (matrix[::40] / length[::40, None]).T
+    width = np.sqrt((1 - alignment ** 2) / (turn.bits - 1)) / alignment
     others = np.abs(error) > 1e-6
     assert abs(error[others].mean()) < 0.01 and (np.abs(error) / width[:, None] < one_bit_search.WIDTH).mean() > 0.99
 
 
+def test_vectors_of_every_length_take_part(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal((3, 4, 40)[i % 3])]) for i in range(600)] + [(600, [2.0]), (605, [-1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for blocks in ({}, {"row_block": 50, "query_block": 7}):
+        assert found(one_bit_search.nearest(df, F.col("vec_id") % 5 == 0, k=12, width=5.0, **blocks)) == exact(rows, lambda i: i % 5 == 0, 12)
+
+
+def test_long_and_extreme_vectors(spark, monkeypatch):
+    monkeypatch.setattr(one_bit_search, "PART", 50)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.standard_normal(130) * 10.0 ** (40 * (i % 3 - 1))]) for i in range(300)]
+    turn = one_bit_search.Rotation(130)
+    units = rng.standard_normal((5, 130))
+    assert np.allclose(turn(units) @ turn(units).T, units @ units.T, atol=1e-3)
+    got = one_bit_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=5, width=5.0)
+    matrix = np.array([v for _, v in rows])
+    for q, own in found(got).items():
+        scores = np.cumsum(matrix * matrix[q], axis=1)[:, -1]
+        scores[q] = -np.inf
+        assert [i for i, _ in own] == np.argsort(-scores)[:5].tolist()
+
+
 # HTML
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site name</h1><p>tagline of the site</p></header>
