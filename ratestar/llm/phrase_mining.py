@@ -341,9 +341,15 @@ def mine_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     counters, sketch = count_phrases(f"{folder}/blocks", folder, spark, size, threshold, longest, shards, slot_bits)
     texts = _texts(blocks, spark.sparkContext.broadcast(sketch), longest)
     _frequent(spark.read.parquet(counters), threshold).join(texts, "hash").select("lang", "length", "phrase", "f").write.parquet(f"{folder}/frequent")
-    frequent = spark.read.parquet(f"{folder}/frequent")
     totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    return score_phrases(spark.read.parquet(f"{folder}/frequent"), totals, contained_percent, top)
 
+
+def score_phrases(frequent: DataFrame, totals: DataFrame, contained_percent: int = 100, top: int | None = 2000) -> DataFrame:
+    """The result of mine_phrases from (lang, length, phrase, f) of all frequent phrases and words, and (lang, n).
+
+    Numbers are 64-bit, products have up to 38 digits and beyond them raise an error.
+    """
     words = F.split("phrase", " ")
     # A phrase occurs at most as often as those between it and a longer one, so those of one more word tell.
     longer = (frequent.where("length > 2").select("lang", "f", F.explode(F.array(
