@@ -16,12 +16,14 @@ with equal sets form a class, represented by its smallest id.
    too many, index single shingles of the shorter prefix; sets near that limit do
    both, so that pairs across it meet as well.
 3. Candidates that meet are verified with their whole sets, and links become
-   components. A group of documents that meet in an entry is never paired in
+   components. A group of documents that meet in an entry is not paired in
    full. All are compared with one member, the pivot, which has the fewest
    shingles of its own; most end in its component, and pairs of those are
    settled. A pair with a member outside it can only link if the two differ from
-   the pivot in the same places, so such pairs are looked up by what they have in
-   common there, and verified (see `difference_entries`).
+   the pivot in the same places, so such members meet again by what they have in
+   common there (see `difference_entries`). There too all are compared with one member, and
+   then with another, while that joins components. Only if several components are
+   left that share a difference, pairs between them (never within one) are verified.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Shingles of more classes than this are frequent and indexed in combinations.
 FREQUENT = 16
+#: Members with which a group is compared at most, besides its pivot, before pairs of those that linked with none are looked up.
+TURNS = 8
 #: Keys over which the documents of one class are spread when it is looked up.
 SALTS = 16
 #: Sets of more shingles index single ones only.
@@ -275,27 +279,62 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int, same: DataFrame |
         links = links.unionAll(same)
     comps = cut_lineage(components(links))
     # Members outside their pivot's component, against all members: those pairs that their differences don't rule out.
-    labelled = (compared.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-                .join(comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp")), "pivot", "left")
-                .withColumn("outside", F.col("comp") != F.coalesce("pivot_comp", "pivot")))
-
-    def side(rows: DataFrame, column: str, end: str) -> DataFrame:
-        return rows.select("pivot", F.explode(column).alias("element"), *[F.col(c).alias(c + end) for c in ("id", "n", "unshared", "d", "comp")])
+    groups = None
+    for turn in range(TURNS):
+        rows = _difference_rows(compared, comps)
+        if turn == 0 and rows.where("other").isEmpty():
+            return comps
+        # Where several components meet, all are compared with one more member, another one each turn.
+        groups = rows.groupBy("pivot", "element").agg(
+            F.min("comp").alias("least"), F.max("comp").alias("most"),
+            F.min(F.when(F.col("other"), F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "comp"))).alias("center")).where(
+            "least <> most AND center IS NOT NULL").select("pivot", "element", F.col("center.id").alias("center"), F.col("center.comp").alias("center_comp"))
+        groups = cut_lineage(groups)
+        near = rows.join(groups, ["pivot", "element"]).where("comp <> center_comp").select(F.least("center", "id").alias("a"), F.greatest("center", "id").alias("b"))
+        new = _verified(near.distinct(), sets, percent)
+        if new.isEmpty():
+            break
+        links = cut_lineage(links.unionAll(new))
+        comps = cut_lineage(components(links))
+    # What is left differs from its centers too: pairs of different components that share an element.
+    rows = _difference_rows(compared, comps).join(groups.select("pivot", "element"), ["pivot", "element"], "left_semi")
+
+    def side(rows: DataFrame, end: str) -> DataFrame:
+        return rows.select("pivot", "element", *[F.col(c).alias(c + end) for c in ("id", "n", "unshared", "d", "comp")])
 
     largest = F.floor((F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent))
-    rest = side(labelled.where("outside AND NOT linked"), "other", "1")
-    found = rest.join(side(labelled, "member", "2"), ["pivot", "element"]).where(
+    found = side(rows.where("other"), "1").join(side(rows.where("NOT other"), "2"), ["pivot", "element"]).where(
         (F.col("comp1") != F.col("comp2")) & (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
         & (F.col("d1") + F.col("d2") - largest <= 2 * F.least(F.col("d1") - F.col("unshared1"), F.col("d2") - F.col("unshared2"))))
-    more = found.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
-    verified = cut_lineage(
-        _with_sets(more, sets).select("a", "b", "na", "nb", "x", "y").mapInArrow(tidy_batches(_overlaps), "a long, b long, na long, nb long, common long")
-        .where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b"))
+    verified = _verified(found.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct(), sets, percent)
     if verified.isEmpty():
         return comps
     return components(links.unionAll(verified))
 
 
+def _difference_rows(compared: DataFrame, comps: DataFrame) -> DataFrame:
+    """A row for each element by which a set's difference from its pivot is looked up, as any member or as an `other` one.
+
+    Others are not linked to their pivot, and not in its component either. Pivots without others have no rows.
+    """
+    labelled = (compared.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+                .join(comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp")), "pivot", "left")
+                .withColumn("outside", (F.col("comp") != F.coalesce("pivot_comp", "pivot")) & ~F.col("linked")))
+    labelled = labelled.join(labelled.where("outside").select("pivot").distinct(), "pivot", "left_semi")
+
+    def rows(some: DataFrame, column: str, other: bool) -> DataFrame:
+        return some.select("pivot", F.explode(column).alias("element"), "id", "n", "unshared", "d", "comp", F.lit(other).alias("other"))
+
+    return rows(labelled.where("outside"), "other", True).unionAll(rows(labelled, "member", False))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that reach the similarity."""
+    return cut_lineage(
+        _with_sets(pairs, sets).select("a", "b", "na", "nb", "x", "y").mapInArrow(tidy_batches(_overlaps), "a long, b long, na long, nb long, common long")
+        .where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b"))
+
+
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT,
     frequent: int = FREQUENT, combined: int = COMBINED_SHINGLES, chunk_bytes: int = chunks.CHUNK_BYTES,
