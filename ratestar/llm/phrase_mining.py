@@ -16,8 +16,8 @@ on the size of the sketch.
 Chunks of blocks send their distinct active phrases as packed hashes with counts to
 buckets of hashes (see `chunks`), so a phrase that a third of the corpus holds weighs as much
 as there are chunks. A bucket's counters are a row of a table that each step writes
-anew; those that missed the threshold in their cycle are dropped from it. In the end one more scan gives the
-text of each frequent phrase, and scores are joins of frequent phrases.
+anew; those that missed the threshold in their cycle are dropped from it. Each counter knows one block that
+holds its phrase; in the end these blocks give the texts of the frequent phrases, and scores are joins of those.
 
 Phrases are told apart by 64-bit hashes.
 """
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ratestar.llm import chunks
-from ratestar.llm.memory import tidy_batches, tidy_group
+from ratestar.llm.memory import tidy_batches, tidy_cogroup, tidy_group
 from ratestar.llm.package import ship
 from ratestar.llm.words import Words, byte_class, mix, slices, split_words
 from ratestar.session import scratch_folder
@@ -57,7 +57,8 @@ _RANGE_BITS = 16
 _NO_WORD = byte_class((0x20, 0x20), *((ord(c),) * 2 for c in "\t.,;:!?"), (0x0A, 0x0D))
 _ENDS_PIECE = ~byte_class(*((ord(c),) * 2 for c in ".,;:!?"), (0x0A, 0x0D))
 
-_COUNTERS = "bucket long, langs array<string>, hashes binary, counts binary, tags binary, since binary"
+_COUNTERS = "bucket long, langs array<string>, blocks array<long>, hashes binary, counts binary, tags binary, sources binary, since binary"
+_BLOCKS = "block long, lang string, n_words long, data binary, shard long"
 
 
 # Blocks
@@ -79,9 +80,9 @@ def _block_bytes(texts: pa.Array) -> tuple[bytes, int]:
 
 
 def write_blocks(docs: DataFrame, folder: str, lang_col: str, text_col: str, shards: int) -> None:
-    """Writes (shard, lang, n_words, data) of all texts, in blocks that end with a piece."""
+    """Writes numbered blocks (block, shard, lang, n_words, data) of all texts, each of which ends with a piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
+        task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for a, b in slices(batch.column("text"), BLOCK_BYTES):
                 langs = batch.column("lang").slice(a, b - a).to_pylist()
@@ -93,13 +94,13 @@ def write_blocks(docs: DataFrame, folder: str, lang_col: str, text_col: str, sha
                     while begin < len(data):
                         end = data.find(b"\n", begin + BLOCK_BYTES) + 1 or len(data)
                         part = data[begin:end]
-                        rows.append((number % shards, lang, n if len(part) == len(data) else part.count(b" ") + part.count(b"\n"), part))
+                        rows.append((task << 32 | number, (task + number) % shards, lang, n if len(part) == len(data) else part.count(b" ") + part.count(b"\n"), part))
                         number, begin = number + 1, end
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["shard", "lang", "n_words", "data"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["block", "shard", "lang", "n_words", "data"])
 
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    (rows.mapInArrow(tidy_batches(run), "shard long, lang string, n_words long, data binary")
+    (rows.mapInArrow(tidy_batches(run), "block long, shard long, lang string, n_words long, data binary")
      .write.partitionBy("shard").parquet(folder))
 
 
@@ -146,23 +147,24 @@ def slots(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 # Counting
 
 
-def _messages(blocks: list[tuple[str, bytes]], step: int, shards: int, longest: int, sketch: np.ndarray, buckets: int) -> list[tuple]:
-    """A chunk's active phrases with their counts, a row for each bucket."""
-    langs = sorted({lang for lang, _ in blocks})
-    hashes, tags = [], []
-    for lang, data in blocks:
+def _messages(blocks: list[tuple[int, str, bytes]], step: int, shards: int, longest: int, sketch: np.ndarray, buckets: int) -> list[tuple]:
+    """A chunk's active phrases with their counts and a block that holds each, a row for each bucket."""
+    langs, numbers = sorted({lang for _, lang, _ in blocks}), [number for number, _, _ in blocks]
+    hashes, tags, sources = [], [], []
+    for place, (_, lang, data) in enumerate(blocks):
         for length, _, own, before in _Phrases(lang, data, sketch).lengths(longest):
             # Active from before + 1 to before + shards.
             own = own[before + shards >= step]
             hashes.append(own)
             tags.append(np.full(len(own), langs.index(lang) << 3 | length, dtype=np.int64))
-    hashes, tags = np.concatenate(hashes), np.concatenate(tags)
+            sources.append(np.full(len(own), place, dtype=np.int64))
+    hashes, tags, sources = np.concatenate(hashes), np.concatenate(tags), np.concatenate(sources)
     order = np.argsort(hashes)
-    hashes, tags = hashes[order], tags[order]
-    edges = chunks.group_starts(hashes)
+    edges = chunks.group_starts(hashes[order])
     counts = np.diff(np.append(edges, len(hashes)))
-    hashes, tags = hashes[edges], tags[edges]
-    return [(bucket, langs, chunks.pack_sorted(hashes[a:b]), chunks.pack(counts[a:b]), chunks.pack(tags[a:b]), None)
+    first = order[edges]
+    hashes, tags, sources = hashes[first], tags[first], sources[first]
+    return [(bucket, langs, numbers, chunks.pack_sorted(hashes[a:b]), chunks.pack(counts[a:b]), chunks.pack(tags[a:b]), chunks.pack(sources[a:b]), None)
             for bucket, a, b in chunks.bucket_ranges(hashes, buckets)]
 
 
@@ -175,31 +177,32 @@ def _merge(table: pa.Table, step: int, shards: int, threshold: int) -> pa.Table:
         number = np.array([langs.setdefault(lang, len(langs)) for lang in row["langs"]], dtype=np.int64)
         tags = chunks.unpack(row["tags"]).astype(np.int64)
         since = np.full(len(hashes), step) if row["since"] is None else chunks.unpack(row["since"]).astype(np.int64)
-        parts.append((hashes, chunks.unpack(row["counts"]).astype(np.int64), number[tags >> 3] << 3 | tags & 7, since,
-                      np.full(len(hashes), row["since"] is not None)))
-    hashes, counts, tags, since, known = map(np.concatenate, zip(*parts))
+        parts.append((hashes, chunks.unpack(row["counts"]).astype(np.int64), number[tags >> 3] << 3 | tags & 7,
+                      np.array(row["blocks"], dtype=np.int64)[chunks.unpack(row["sources"])], since, np.full(len(hashes), row["since"] is not None)))
+    hashes, counts, tags, sources, since, known = map(np.concatenate, zip(*parts))
     order = np.argsort(hashes, kind="stable")
     edges = chunks.group_starts(hashes[order])
     total = np.add.reduceat(counts[order], edges)
     old = np.add.reduceat((counts * known)[order], edges)
     since = np.minimum.reduceat(since[order], edges)
-    hashes, tags = hashes[order][edges], tags[order][edges]
+    hashes, tags, sources = hashes[order][edges], tags[order][edges], np.minimum.reduceat(sources[order], edges)
     fresh = (total >= threshold) & (old < threshold)
     # Counted since `since` at the latest: after a cycle a phrase below the threshold stays below.
     keep = (total >= threshold) | (step < since + shards - 1)
+    blocks, sources = np.unique(sources[keep], return_inverse=True)
     return pa.table({
         "bucket": pa.array(table.column("bucket").to_pylist()[:1], pa.int64()), "langs": pa.array([list(langs)], pa.list_(pa.string())),
-        "hashes": chunks.binary([chunks.pack_sorted(hashes[keep])]), "counts": chunks.binary([chunks.pack(total[keep])]),
-        "tags": chunks.binary([chunks.pack(tags[keep])]), "since": chunks.binary([chunks.pack(since[keep])]),
+        "blocks": pa.array([blocks.tolist()], pa.list_(pa.int64())), "hashes": chunks.binary([chunks.pack_sorted(hashes[keep])]), "counts": chunks.binary([chunks.pack(total[keep])]),
+        "tags": chunks.binary([chunks.pack(tags[keep])]), "sources": chunks.binary([chunks.pack(sources)]), "since": chunks.binary([chunks.pack(since[keep])]),
         "fresh": chunks.binary([chunks.pack_sorted(hashes[fresh])]),
         "n_extendable": pa.array([int((fresh & (tags & 7 < LONGEST)).sum())], pa.int64())})
 
 
-def _in_chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+def _in_chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[list[tuple[int, str, bytes]]]:
     held, size = [], 0
     for batch in batches:
-        for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist()):
-            held.append((lang, data))
+        for number, lang, data in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "data"))):
+            held.append((number, lang, data))
             size += len(data)
             if size >= chunk_bytes:
                 yield held
@@ -210,7 +213,7 @@ def _in_chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[
 
 def _taken_slots(counters: DataFrame, size: int) -> np.ndarray:
     """True for the slots of phrases that have just reached the threshold: a bit a slot comes to the driver."""
-    ranges = 1 << _RANGE_BITS
+    ranges = min(size, 1 << _RANGE_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         taken = np.zeros(size, dtype=bool)
@@ -226,7 +229,7 @@ def _taken_slots(counters: DataFrame, size: int) -> np.ndarray:
         bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
         return pa.table({"part": table.column("part").slice(0, 1), "bits": chunks.binary([bits.tobytes()])})
 
-    out = np.zeros((size >> _RANGE_BITS, ranges), dtype=bool)
+    out = np.zeros((size // ranges, ranges), dtype=bool)
     rows = counters.select("fresh").mapInArrow(tidy_batches(run), "part long, bits binary").groupBy("part").applyInArrow(either, "part long, bits binary")
     for row in rows.collect():
         out[row["part"]] = np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
@@ -237,11 +240,12 @@ def count_phrases(blocks_folder: str, folder: str, spark: SparkSession, size: in
                   slot_bits: int | None = None) -> tuple[str, np.ndarray]:
     """The last table of counters, and the sketch of all frequent phrases."""
     bits = slot_bits or min(max(SLOT_BITS[0], math.ceil(math.log2(max(1, size / BYTES_PER_SLOT)))), SLOT_BITS[1])
-    sketch = np.full(1 << max(bits, _RANGE_BITS), _NEVER, dtype=np.uint8)
+    sketch = np.full(1 << max(bits, 3), _NEVER, dtype=np.uint8)
     chunk_bytes, bucket_bytes = chunks.fitting(size)
     buckets = chunks.bucket_count(size, bucket_bytes)
     before, step, last_reached = "", 0, -1
-    blocks = spark.read.schema("lang string, n_words long, data binary, shard long").parquet(blocks_folder)
+    names = ["bucket", "langs", "blocks", "hashes", "counts", "tags", "sources", "since"]
+    blocks = spark.read.schema(_BLOCKS).parquet(blocks_folder)
     while step <= last_reached + shards:
         shared = spark.sparkContext.broadcast(sketch)
 
@@ -249,13 +253,13 @@ def count_phrases(blocks_folder: str, folder: str, spark: SparkSession, size: in
             for chunk in _in_chunks(batches, chunk_bytes):
                 rows = _messages(chunk, step, shards, longest, shared.value, buckets)
                 if rows:
-                    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 4))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "langs", "hashes", "counts", "tags", "since"])
+                    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 5))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
         def merge(table: pa.Table, step: int = step) -> pa.Table:
             return _merge(table, step, shards, threshold)
 
-        found = blocks.where(F.col("shard") == step % shards).select("lang", "data").mapInArrow(tidy_batches(send), _COUNTERS)
+        found = blocks.where(F.col("shard") == step % shards).select("block", "lang", "data").mapInArrow(tidy_batches(send), _COUNTERS)
         if before:
             found = spark.read.parquet(before).select(*found.columns).unionAll(found)
         after = f"{folder}/counters-{step}"
@@ -295,26 +299,38 @@ def _frequent(counters: DataFrame, threshold: int) -> DataFrame:
     return counters.select("langs", "hashes", "counts", "tags").mapInArrow(tidy_batches(run), "lang string, length int, hash long, f long")
 
 
-def _texts(blocks: DataFrame, sketch, longest: int) -> DataFrame:
-    """(hash, phrase) of all phrases whose slots are taken, each at least once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.empty(0, dtype=_U)
+def _texts(blocks: DataFrame, counters: DataFrame, sketch, threshold: int, longest: int) -> DataFrame:
+    """(hash, phrase) of all frequent phrases, each from the block that its counter names."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist()):
-                phrases = _Phrases(lang, data, sketch.value)
-                for length, places, hashes, _ in phrases.lengths(longest):
-                    own = np.flatnonzero(phrases.steps(hashes) != _NEVER)
-                    new, first = np.unique(hashes[own], return_index=True)
-                    there = np.searchsorted(seen, new)
-                    known = np.append(seen, _U(0))[there] == new if len(seen) else np.zeros(len(new), bool)
-                    new, first = new[~known], places[own[first[~known]]]
-                    if len(new):
-                        seen = np.union1d(seen, new)
-                        texts = [data[a:b] for a, b in zip((phrases.starts[first] - 1).tolist(), (phrases.ends[first + length - 1] - 1).tolist())]
-                        yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), pa.array(texts, pa.binary()).cast(pa.string())],
-                                                         names=["hash", "phrase"])
-
-    return blocks.select("lang", "data").mapInArrow(tidy_batches(run), "hash long, phrase string").groupBy("hash").agg(F.min("phrase").alias("phrase"))
+            for row in batch.to_pylist():
+                own = chunks.unpack(row["counts"]) >= threshold
+                sources = chunks.unpack(row["sources"])[own]
+                order = np.argsort(sources, kind="stable")
+                edges = chunks.group_starts(sources[order])
+                parts = np.split(chunks.unpack_sorted(row["hashes"])[own][order], edges[1:]) if len(order) else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(row["blocks"], dtype=np.int64)[sources[order][edges]]), chunks.binary([chunks.pack_sorted(x) for x in parts])],
+                    names=["block", "hashes"])
+
+    def answer(block: pa.Table, asked: pa.Table) -> pa.Table:
+        hashes_out, texts_out = [np.empty(0, _U)], []
+        if len(block) and len(asked):
+            wanted = np.sort(np.concatenate([chunks.unpack_sorted(x.as_py()) for x in asked.column("hashes")]))
+            data = block.column("data")[0].as_py()
+            phrases = _Phrases(block.column("lang")[0].as_py(), data, sketch.value)
+            for length, places, hashes, _ in phrases.lengths(longest):
+                new, first = np.unique(hashes, return_index=True)
+                there = np.searchsorted(wanted, new)
+                found = np.append(wanted, _U(0))[there] == new
+                first = places[first[found & (there < len(wanted))]]
+                hashes_out.append(new[found & (there < len(wanted))])
+                texts_out += [data[a:b] for a, b in zip((phrases.starts[first] - 1).tolist(), (phrases.ends[first + length - 1] - 1).tolist())]
+        return pa.table({"hash": pa.array(np.concatenate(hashes_out).view(np.int64)), "phrase": pa.array(texts_out, pa.binary()).cast(pa.string())})
+
+    asked = counters.select("blocks", "hashes", "counts", "sources").mapInArrow(tidy_batches(ask), "block long, hashes binary")
+    some = blocks.select("block", "lang", "data").join(asked.select("block").distinct(), "block", "left_semi")
+    return some.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(tidy_cogroup(answer), "hash long, phrase string")
 
 
 def mine_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", threshold: int = THRESHOLD, longest: int = LONGEST,
@@ -336,11 +352,12 @@ def mine_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     folder = scratch_folder(spark, "phrases")
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     write_blocks(rows, f"{folder}/blocks", "lang", "text", shards)
-    blocks = spark.read.schema("lang string, n_words long, data binary, shard long").parquet(f"{folder}/blocks")
+    blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
     size = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("size")).first()["size"]
     counters, sketch = count_phrases(f"{folder}/blocks", folder, spark, size, threshold, longest, shards, slot_bits)
-    texts = _texts(blocks, spark.sparkContext.broadcast(sketch), longest)
-    _frequent(spark.read.parquet(counters), threshold).join(texts, "hash").select("lang", "length", "phrase", "f").write.parquet(f"{folder}/frequent")
+    counters = spark.read.parquet(counters)
+    texts = _texts(blocks, counters, spark.sparkContext.broadcast(sketch), threshold, longest)
+    _frequent(counters, threshold).join(texts, "hash").select("lang", "length", "phrase", "f").write.parquet(f"{folder}/frequent")
     totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     return score_phrases(spark.read.parquet(f"{folder}/frequent"), totals, contained_percent, top)
 

@@ -41,15 +41,17 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from ratestar.llm.memory import tidy_batches
 from ratestar.llm.package import ship
-from ratestar.llm.words import byte_class, slices, split_words
+from ratestar.llm.words import LOWER, byte_class, looked_up, slices, split_words
 from ratestar.session import scratch_folder
 
 #: Tokens in a file, about; the range of a document never depends on it.
 FILE_TOKENS = 4 << 20
 #: Tokens in a block, about: what a task holds of a file.
 BLOCK_TOKENS = 1 << 20
+#: Text tokenized in one go, about: pieces that repeat in it are looked up once.
+SLICE_BYTES = 6 << 20
 #: Distinct pieces of text whose ids a Python worker remembers.
-PIECES_KEPT = 300_000
+PIECES_KEPT = 1_000_000
 
 _MAGIC = b"RTK1"
 _HEADER = struct.Struct("<4sIQIIQQ")
@@ -251,45 +253,65 @@ class RankedTokens(DataSource):
 
 
 _BLANK = re.compile(rb"\s")
+#: Lower-case letters of the first 256 characters.
+_PLAIN = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 #: All bytes but blank, tab, line feed and carriage return.
 _NOT_BLANK = byte_class((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D))
-_ASCII_WORD = ~byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
-_ASCII_SIGN = ~byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+_ASCII_WORD, _ASCII_SIGN = 1, 2
+_KINDS = (_ASCII_WORD * ~byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
+          + _ASCII_SIGN * ~byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)))
 
 
 class PieceTokenizer:
     """Ids of whole texts, put together from those of their pieces, which repeat a lot.
 
-    Texts are cut after white space, and between an ASCII letter or digit and an
+    Texts are cut at white space, and between an ASCII letter or digit and an
     ASCII sign behind it. The tokenizers of the kind supported drop white space and
     split what is left into runs of letters, single digits and runs of signs (a sign
     before letters may belong to them), and no normalization joins characters
-    over such a place, so pieces have the ids they have in the text. Near strings
-    of special tokens, which count as those tokens, the cuts are after white space alone.
+    over such a place, so pieces have the ids they have in the text. They lower all letters
+    too, so A-Z are lowered here, but for those before other than ASCII characters, which could be
+    accents to be joined with the letter first. Near strings of special tokens, which count as those
+    tokens, the cuts are after white space alone and no letter is lowered. Pieces of plain
+    letters go to the model directly, if it gives pairs of them the ids that the tokenizer does.
     """
 
     def __init__(self, model: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_str(model)
-        self._added = [token.content.encode() for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = [token.content.encode().lower() for token in self._tokenizer.get_added_tokens_decoder().values()]
         if any(_BLANK.search(token) for token in self._added):
             raise ValueError("a token with white space could be cut")
+        self._model = self._tokenizer.model
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._as_bytes = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(256) if _PLAIN.fullmatch(chr(c))}
+        some = [chr(a) + chr(b) for a in self._as_bytes for b in self._as_bytes]
+        whole = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        self._skips = all(self._plain_ids(text) == found.ids for text, found in zip(some, whole))
         self._forget()
 
     def _forget(self) -> None:
         self._number: dict[bytes, int] = {}
         self._ids, self._first = array("I"), array("q", [0])
 
+    def _plain_ids(self, text: str) -> list[int]:
+        """Ids of lower-case letters, which normalization leaves as they are, by the model itself."""
+        return [token.id for token in self._model.tokenize(text.translate(self._as_bytes))]
+
     def _look_up(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First place and number of ids of each piece, and the ids."""
         if len(self._number) > PIECES_KEPT:
             self._forget()
-        new = [piece for piece in pieces if piece not in self._number]
-        for piece, found in zip(new, self._tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)):
+        new = {piece: piece.decode() for piece in pieces if piece not in self._number}
+        found = {piece: self._plain_ids(text) for piece, text in new.items() if self._skips and _PLAIN.fullmatch(text)}
+        others = {piece: text for piece, text in new.items() if piece not in found}
+        for piece, encoding in zip(others, self._tokenizer.encode_batch_fast([*others.values()], add_special_tokens=False)):
+            found[piece] = encoding.ids
+        for piece, ids in found.items():
             self._number[piece] = len(self._first) - 1
-            self._ids.extend(found.ids)
+            self._ids.extend(ids)
             self._first.append(len(self._ids))
         numbers = np.fromiter(map(self._number.__getitem__, pieces), np.int64, len(pieces))
         first = np.array(self._first)
@@ -299,17 +321,23 @@ class PieceTokenizer:
         """All ids, and the place of each text's first one, with the end as the last place. Null is the empty text."""
         words = split_words(texts, _NOT_BLANK)
         buffer = words.buffer
-        begins = np.zeros(len(buffer), dtype=bool)
+        begins = np.zeros(len(buffer) + 1, dtype=bool)
         begins[words.starts] = True
-        data = buffer.tobytes()
+        lowered = looked_up(buffer, LOWER)
+        data = lowered.tobytes()
         if not any(token in data for token in self._added):
-            begins[1:] |= _ASCII_WORD[buffer[:-1]] & _ASCII_SIGN[buffer[1:]]
+            kinds = looked_up(buffer, _KINDS)
+            begins[1:-1] |= (kinds[:-1] == _ASCII_WORD) & (kinds[1:] == _ASCII_SIGN)
+            kept = np.flatnonzero((buffer[1:] >= 0x80) & (buffer[:-1] != lowered[:-1]))
+            buffer, original = lowered.copy(), buffer
+            buffer[kept] = original[kept]
         starts = np.flatnonzero(begins)
-        before = np.append(np.cumsum(begins)[words.starts] - 1, len(starts))[words.first]
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        offsets = np.append(starts, len(buffer)).astype(np.int64)
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buffer)])
+        before = np.append(np.cumsum(begins)[words.starts] - 1, len(starts))[words.first]
+        solid = looked_up(buffer, _NOT_BLANK).view(bool)
+        offsets = np.append(0, np.cumsum(solid))[np.append(starts, len(buffer))].astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buffer[solid])])
         coded = pieces.dictionary_encode()
         first, count, ids = self._look_up(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy()
@@ -345,7 +373,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
             _tokenizers.clear()
             _tokenizers[key] = PieceTokenizer(shared.value)
         for batch in batches:
-            for a, b in slices(batch.column("text")):
+            for a, b in slices(batch.column("text"), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 ids, borders = _tokenizers[key].encode(part.column("text"))
                 ids = ids.astype(f"<u{width}")

@@ -41,6 +41,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def looked_up(buffer: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[buffer] for bytes, without widening them to indexes."""
+    return np.frombuffer(buffer.tobytes().translate(table.astype(np.uint8).tobytes()), np.uint8)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit over all (the finalizer of splitmix64)."""
     x = x ^ (x >> _U(30))
@@ -101,8 +106,8 @@ def split_words(column: pa.Array, table: np.ndarray = BLANK_SEPARATED, lower: bo
     body = np.frombuffer(joined.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]] if size else np.empty(0, np.uint8)
     # One separator in front, eight behind: lanes of eight bytes may be read past the last word.
     buffer = np.full(len(body) + 9, 10, dtype=np.uint8)
-    buffer[1:-8] = LOWER[body] if lower else body
-    inside = table[buffer].view(np.int8)
+    buffer[1:-8] = looked_up(body, LOWER) if lower else body
+    inside = looked_up(buffer, table).view(np.int8)
     change = np.diff(inside)
     starts = np.flatnonzero(change == 1) + 1
     ends = np.flatnonzero(change == -1) + 1

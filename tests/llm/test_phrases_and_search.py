@@ -62,7 +62,7 @@ def test_mined_phrases(spark, threshold, shards, slot_bits, percent, top):
     docs = spark.createDataFrame([(lang, text, "clash") for lang, text in rows], "lang string, text string, phrase string").repartition(5)
     got = phrase_mining.mine_phrases(docs, threshold=threshold, shards=shards, slot_bits=slot_bits, contained_percent=percent, top=top)
     want = mined(rows, threshold, percent, top)
-    assert sorted(map(tuple, got.collect())) == want and len(want) > 3
+    assert want and sorted(map(tuple, got.collect())) == want
     assert [t for _, t in got.dtypes] == ["string", "bigint", "string", *["bigint"] * 5]
 
 
@@ -74,12 +74,10 @@ def test_late_phrases_complete_their_cycle(spark, tmp_path):
     assert [tuple(r)[2:6] for r in got] == [("one two three four five", 8, 8, 8)]
 
 
-def test_a_saturated_sketch_changes_nothing(spark, monkeypatch):
+def test_a_saturated_sketch_changes_nothing(spark):
     rows = corpus()[:150]
-    monkeypatch.setattr(phrase_mining, "slots", lambda hashes, size: (hashes & np.uint64(3), hashes & np.uint64(1)))
-    f, _ = frequent_phrases(rows, 4)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    got = phrase_mining.mine_phrases(docs, threshold=4, shards=2, top=None)
+    got = phrase_mining.mine_phrases(docs, threshold=4, shards=2, top=None, slot_bits=3)
     assert sorted(map(tuple, got.collect())) == mined(rows, 4)
 
 
