@@ -13,7 +13,10 @@ joined back under salted keys, which spread such a value over many tasks.
 Sorted rows are written to the checkpoint folder when a function is called, not
 when its result is used, as the bounds of a sort are sampled anew each time it
 runs; the files go when nothing reads them any more. Ranks read their input
-twice, so it must give the same values each time.
+twice, so it is written there too, and worked out once.
+
+The first n rows of a group need no sort of all: those of each salted part come
+first, then those of the parts.
 
 NULL placement follows Spark: first when ascending, last when descending.
 """
@@ -28,6 +31,8 @@ from ratestar.session import cut_lineage
 
 ROWS_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 SALTS = 16  # parts of a hot key
+TOP_ROWS = 1 << 20  # rows that one task may get for the first n of a group
+LIMITED = 1000  # the largest n up to which Spark lets map tasks send n rows of a group alone, by default
 
 
 def _sorted_by(by: Sequence[str], key: str, descending: bool, ties: Sequence[str]) -> list[Column]:
@@ -35,21 +40,27 @@ def _sorted_by(by: Sequence[str], key: str, descending: bool, ties: Sequence[str
     return [*[F.col(c).asc_nulls_first() for c in by], first, *[F.col(c).asc_nulls_first() for c in ties]]
 
 
-def _placed(df: DataFrame, order: Sequence[Column], weight: Column) -> DataFrame:
-    """Rows in order with ``_place``, the 1-based place of their first unit of weight, and ``_total`` of all weights."""
+def _placed(df: DataFrame, order: Sequence[Column], weight: Column | None = None) -> DataFrame:
+    """Rows in order with ``_place``, the 1-based place of their first unit of weight, and ``_total`` of all weights.
+
+    Without a weight each row counts as one, and its place in the block is known without another look at it.
+    """
     rows = cut_lineage(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()))
     block = F.shiftright("_row", ROWS_BITS)
-    sizes = rows.groupBy(block.alias("_block")).agg(F.sum(weight).alias("_n"))
+    sizes = rows.groupBy(block.alias("_block")).agg(F.sum(F.lit(1) if weight is None else weight).alias("_n"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = sizes.select(
         "_block",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    inside = Window.partitionBy("_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    return (rows.withColumn("_block", block)
-            .withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    if weight is None:
+        inside = F.col("_row").bitwiseAND(F.lit((1 << ROWS_BITS) - 1))
+    else:
+        window = Window.partitionBy("_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+        inside = F.coalesce(F.sum(weight).over(window), F.lit(0))
+    return (rows.withColumn("_block", block).withColumn("_inside", inside)
             .join(F.broadcast(blocks), "_block")
-            .withColumn("_place", F.col("_before") + F.col("_inside") + 1).drop("_row", "_block", "_before", "_inside"))
+            .withColumn("_place", F.col("_before") + F.col("_inside") + 1).drop("_row", "_block", "_inside", "_before"))
 
 
 def _match(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -65,6 +76,7 @@ def _match(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFra
 
 def _with_ties(df: DataFrame, by: Sequence[str], key: str, descending: bool) -> DataFrame:
     """Rows with ``_rank`` (ties share the first place) and ``_size`` of the group."""
+    df = cut_lineage(df)
     values = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_n"))
     ties = _placed(values, _sorted_by(by, key, descending, ()), F.col("_n"))
     if by:
@@ -75,10 +87,13 @@ def _with_ties(df: DataFrame, by: Sequence[str], key: str, descending: bool) ->
     return _match(df, ties.select(*by, key, F.col("_place").alias("_rank"), "_size"), [*by, key])
 
 
-def _numbered(df: DataFrame, by: Sequence[str], key: str, descending: bool, ties: Sequence[str]) -> DataFrame:
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def numbered(df: DataFrame, by: Sequence[str], key: str, descending: bool, ties: Sequence[str]) -> DataFrame:
     """Rows with ``_place`` and ``_total`` within ``by``; what the ties leave equal is ordered by a hash of the row."""
-    order = [*_sorted_by(by, key, descending, ties), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
-    rows = _placed(df, order, F.lit(1))
+    rows = _placed(df, [*_sorted_by(by, key, descending, ties), _row_hash(df)])
     if not by:
         return rows
     groups = rows.groupBy(*by).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_size"))
@@ -101,6 +116,7 @@ def percent_rank(df: DataFrame, by: Sequence[str], key: str, name: str, descendi
 
 def dense_rank(df: DataFrame, by: Sequence[str], key: str, name: str, descending: bool = True) -> DataFrame:
     """DENSE_RANK within ``by``: ties share a rank, without gaps."""
+    df = cut_lineage(df)
     values = row_number(df.select(*by, key).distinct(), by, key, name, descending)
     return _match(df, values, [*by, key])
 
@@ -108,14 +124,14 @@ def dense_rank(df: DataFrame, by: Sequence[str], key: str, name: str, descending
 def row_number(df: DataFrame, by: Sequence[str], key: str, name: str, descending: bool = True,
                ties: Sequence[str] = ()) -> DataFrame:
     """ROW_NUMBER within ``by``; give ``ties`` columns that make the order total."""
-    rows = _numbered(df, by, key, descending, ties)
+    rows = numbered(df, by, key, descending, ties)
     return rows.withColumn(name, F.col("_place").cast("int")).drop("_place", "_total")
 
 
 def ntile(df: DataFrame, tiles: int, by: Sequence[str], key: str, name: str, descending: bool = False,
           ties: Sequence[str] = ()) -> DataFrame:
     """NTILE within ``by``; the first groups take one row more when sizes differ."""
-    rows = _numbered(df, by, key, descending, ties)
+    rows = numbered(df, by, key, descending, ties)
     parts = (rows.withColumn("_long", F.col("_total") % tiles)
              .withColumn("_short_size", F.expr(f"_total div {tiles}"))
              .withColumn("_long_rows", F.col("_long") * (F.col("_short_size") + 1)))
@@ -127,5 +143,20 @@ def ntile(df: DataFrame, tiles: int, by: Sequence[str], key: str, name: str, des
 
 def top_n(df: DataFrame, n: int, by: Sequence[str], key: str, name: str, descending: bool = True,
           ties: Sequence[str] = ()) -> DataFrame:
-    """The first ``n`` rows of each group, numbered; no task receives a whole group, however large ``n`` is."""
-    return row_number(df, by, key, name, descending, ties).filter(F.col(name) <= n)
+    """The first ``n`` rows of each group, numbered, in the order of ``row_number``.
+
+    A group is dealt over parts by a hash of the row, and the first ``n`` of its
+    parts are ranked again. Map tasks send no more than ``n`` rows of a part; where ``n`` is over what Spark
+    does that for, there are more parts, in two steps. So no task receives a whole group, and nothing is
+    written. Where ``n`` is so large that the parts' rows are many, all rows are numbered.
+    """
+    steps = [SALTS] if n <= LIMITED else [SALTS ** 3, 4 * SALTS]
+    if n * steps[-1] > TOP_ROWS:
+        return row_number(df, by, key, name, descending, ties).filter(F.col(name) <= n)
+    order = [*_sorted_by((), key, descending, ties), F.col("_hash")]
+    rows = df.withColumn("_hash", _row_hash(df))
+    for parts in steps:
+        window = Window.partitionBy(*by, F.pmod("_hash", F.lit(parts))).orderBy(*order)
+        rows = rows.withColumn("_place", F.row_number().over(window)).filter(F.col("_place") <= n).drop("_place")
+    first = rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return first.filter(F.col(name) <= n).drop("_hash")

@@ -201,6 +201,82 @@ def percentile(rates: str, columns: str, by: str, key: str) -> str:
             f"ELSE 0.0 END AS percentile_rank FROM (SELECT *, {place} AS r, {size} AS n FROM ({rates}))")
 
 
+# The quarters of the rates with gaps, months enrolled, and definitions of several years.
+GAPPY = 'NOT (e.measurement_year % 2 = 0 AND e."quarter" = 2)'
+NUMBER = 'measurement_year * 4 + "quarter"'
+DEFINED = """(SELECT measure_id, measure_name, 2000 AS since, regulatory_threshold FROM dim_measure
+    UNION ALL SELECT measure_id, measure_name, 1994, regulatory_threshold - 5 FROM dim_measure
+    UNION ALL SELECT measure_id, measure_name, 1997, regulatory_threshold + 2 FROM dim_measure WHERE right(measure_id, 1) IN ('1', '3', '5'))"""
+MONTHS_ENROLLED = """(SELECT member_id, aid_category, CAST(year(m) AS INTEGER) AS "year", CAST(month(m) AS INTEGER) AS "month" FROM (
+    SELECT member_id, aid_category, unnest(generate_series(CAST(date_trunc('month', enrollment_start_dt) AS TIMESTAMP),
+        CAST(least(coalesce(enrollment_end_dt, DATE '2000-12-31'), DATE '2000-12-31') AS TIMESTAMP), INTERVAL 1 MONTH)) AS m
+    FROM dim_member WHERE enrollment_start_dt <= least(coalesce(enrollment_end_dt, DATE '2000-12-31'), DATE '2000-12-31')))"""
+
+
+def in_time(by: str, distance: int, name: str, first: str, second: str, change: str) -> str:
+    rates = view("quality", [by, *PERIOD], ["performance_rate"], GAPPY, "INNER")
+    joined = (f"SELECT a.*, b.performance_rate AS {name} FROM ({rates}) a LEFT JOIN ({rates}) b ON a.{by} = b.{by} "
+              f'AND a.measurement_year * 4 + a."quarter" = b.measurement_year * 4 + b."quarter" + {distance}')
+    return difference(joined, f'{by}, measurement_year, "quarter", performance_rate, {name}', first, second, change)
+
+
+def cost(by: list[str], period: str) -> str:
+    """Cents over months, rounded half up in whole numbers; period is SQL over a month's number."""
+    keys = ", ".join([*by, '"year"', "period"])
+    return f"""
+        SELECT {keys}, CAST(coalesce(SUM(months), 0) AS BIGINT) AS member_months, CAST(coalesce(SUM(claims), 0) AS BIGINT) AS claim_count,
+               CAST(SUM(cents) AS DOUBLE) / 100 AS total_paid,
+               CASE WHEN SUM(months) > 0 THEN CAST((2 * coalesce(SUM(cents), 0) + SUM(months)) // (2 * SUM(months)) AS DOUBLE) / 100 END AS cost_per_member_month
+        FROM (SELECT {", ".join([*by, '"year"'])}, {period} AS period, 1 AS months, NULL AS claims, NULL AS cents FROM {MONTHS_ENROLLED}
+              UNION ALL BY NAME
+              SELECT {"".join(f"b.{c}, " for c in by)} CAST(year(service_date) AS INTEGER) AS "year", {period.replace('"month"', 'CAST(month(service_date) AS INTEGER)')} AS period,
+                     1 AS claims, CAST(paid_amount * 100 AS HUGEINT) AS cents FROM fact_claims c LEFT JOIN dim_member b ON c.member_id = b.member_id
+              WHERE year(service_date) <= 2000)
+        GROUP BY {keys}"""
+
+
+def _catalog_columns() -> str:
+    from ratestar.schema import TABLES
+
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    rows = [f"({quoted(t.name)}, {quoted(f.name)}, {quoted(f.dataType.simpleString())}, {quoted(f.metadata['comment'])}, {f.name in t.partition_by})"
+            for t in TABLES.values() for f in t.columns]
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS x(table_name, column_name, type, comment, partitions)"
+
+
+def _catalog_tables() -> str:
+    from ratestar.schema import TABLES
+
+    rows = [f"('{t.name}', '{t.comment}', 'gold', TRUE)" for t in TABLES.values()]
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS x(table_name, comment, quality, in_schema)"
+
+
+#: The ladders of the anonymous members, as SQL over the member table.
+LADDERS = {
+    "zip_code": ["zip_code", "substr(zip_code, 1, 3)", "substr(zip_code, 1, 2)", "substr(zip_code, 1, 1)", "NULL"],
+    "date_of_birth": ["strftime(date_of_birth, '%Y-%m')", "strftime(date_of_birth, '%Y')", "CAST(year(date_of_birth) // 10 * 10 AS VARCHAR) || 's'", "NULL"],
+    "gender": ["gender", "NULL"],
+}
+
+
+def anonymous(k: int, most: str) -> str:
+    """Every level of coarseness one after the other, the cheapest that leaves out few enough."""
+    points = [(z, d, g) for z in range(5) for d in range(4) for g in range(2)]
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS point, {z / 4 + d / 3 + g} AS climbed, CAST({LADDERS['zip_code'][z]} AS VARCHAR) AS zip_code, "
+        f"CAST({LADDERS['date_of_birth'][d]} AS VARCHAR) AS date_of_birth, CAST({LADDERS['gender'][g]} AS VARCHAR) AS gender, aid_category FROM dim_member"
+        for i, (z, d, g) in enumerate(points))
+    return f"""
+        SELECT zip_code, date_of_birth, gender, aid_category, COUNT(*) AS members
+        FROM (SELECT *, COUNT(*) OVER (PARTITION BY point, zip_code, date_of_birth, gender) AS n FROM ({rows}))
+        WHERE n >= {k} AND point = (
+            SELECT point FROM (
+                SELECT point, COUNT(*) AS total, COUNT(*) FILTER (WHERE n >= {k}) AS kept, MAX(climbed) / 3 AS share
+                FROM (SELECT *, COUNT(*) OVER (PARTITION BY point, zip_code, date_of_birth, gender) AS n FROM ({rows})) GROUP BY point)
+            WHERE total - kept <= {most} * total ORDER BY (total - kept) + kept * share, point LIMIT 1)
+        GROUP BY ALL"""
+
+
 def _member_year(year: int) -> str:
     return (f"SELECT member_id, COUNT(CASE WHEN is_active THEN 1 END) AS active_months, MAX(plan_id) AS last_plan "
             f"FROM fact_enrollment WHERE year(snapshot_month) = {year} GROUP BY member_id")
@@ -527,5 +603,60 @@ ORACLES: dict[str, str] = {name: with_star(body) for name, body in {
                CAST(date_trunc('year', service_date) AS DATE) AS service_date, claim_type, revenue_code, TRUE AS dx_hidden,
                CAST(len(proc_codes) AS INTEGER) AS proc_count, CAST(NULL AS DOUBLE) AS paid_amount, measurement_year
         FROM fact_claims""",
+    "s04_typed_tables": _catalog_columns(),
+    "s05_numbered_batches": "SELECT is_active, CAST(year(snapshot_month) AS INTEGER) AS year, COUNT(DISTINCT (member_id, snapshot_month)) AS keys, "
+                            "COUNT(DISTINCT member_id) AS members FROM fact_enrollment GROUP BY ALL",
+    "s07_schema": _catalog_tables(),
+    "s11_refreshed_rates": view("quality", ["measure_name", "measurement_year"],
+                                ["total_events", "denominator", "numerator", "performance_rate", "gap_to_threshold"]),
+    "m08_routed_to_stored": view("quality", ["measure_name", "quarter"], ["denominator", "numerator", "performance_rate", "gap_to_threshold"],
+                                 "e.measurement_year = 2000 AND m.measure_category IN ('Diabetes', 'Preventive')"),
+    "m08_routed_to_larger": view("quality", ["measure_category", "region"], ["total_events", "exclusion_count", "performance_rate"], how="INNER"),
+    "a07_people_from_stored": view("quality", ["region", "measurement_year"], ["total_events", "distinct_members", "distinct_providers"]),
+    "a13_members_from_stored": view("claims", ["claim_type"], ["claim_count", "total_paid", "unique_members", "cost_per_member"]),
+    "a14_enrolled_from_stored": view("enrollment", ["region"], ["enrolled_members", "active_member_months", "snapshots"]),
+    "a16_monthly_from_stored": MONTHS,
+    "a10_cost_per_member_month": "SELECT * EXCLUDE (period) FROM (" + cost(["aid_category"], "1") + ")",
+    "a10_cost_per_member_month_by_quarter": cost([], '(("month" - 1) // 3 + 1)'),
+    "j08_rates_by_definition": f"""
+        SELECT e.measure_id, e.measurement_year, total_events, denominator, numerator, since AS definition_measurement_year, measure_name,
+               CAST(regulatory_threshold AS DOUBLE) AS regulatory_threshold, {rate("numerator", "denominator")} AS performance_rate,
+               {gap("regulatory_threshold", "numerator", "denominator")} AS gap_to_threshold
+        FROM ({view("quality", ["measure_id", "measurement_year"], ["total_events", "denominator", "numerator"])}) e
+        LEFT JOIN (SELECT e.y, d.* FROM (SELECT DISTINCT measurement_year AS y FROM fact_quality_events) e JOIN {DEFINED} d ON d.since <= e.y
+                   QUALIFY row_number() OVER (PARTITION BY e.y, d.measure_id ORDER BY d.since DESC) = 1) d
+        ON d.measure_id = e.measure_id AND d.y = e.measurement_year""",
+    "j08_events_with_definitions": f"""
+        SELECT measurement_year, since AS definition_measurement_year, CAST(regulatory_threshold AS DOUBLE) AS regulatory_threshold,
+               COUNT(*) AS events, COUNT(DISTINCT event_id) AS event_ids
+        FROM fact_quality_events e ASOF LEFT JOIN {DEFINED} d ON e.measure_id = d.measure_id AND e.measurement_year >= d.since GROUP BY ALL""",
+    "v04_keys_of_definitions": f"SELECT 'dim_measure' AS table_name, 'measure_id, measurement_year' AS key_columns, COUNT(*) AS distinct_keys, "
+                               f"CAST(0 AS BIGINT) AS repeated_keys, CAST(0 AS BIGINT) AS surplus_rows FROM {DEFINED}",
+    "w02_previous_quarter_in_time": in_time("measure_name", 1, "prev_quarter_rate", "performance_rate", "prev_quarter_rate", "qoq_change"),
+    "w07_next_quarter_in_time": in_time("measure_name", -1, "next_quarter_rate", "next_quarter_rate", "performance_rate", "next_change"),
+    "w08_quarter_of_last_year": in_time("measure_name", 4, "last_year_rate", "performance_rate", "last_year_rate", "yoy_change"),
+    "w02_all_quarters": f"""SELECT * FROM (
+        WITH r AS ({view("quality", ["measure_category", *PERIOD], ["performance_rate"], GAPPY, "INNER")}),
+        n AS (SELECT *, {NUMBER} AS number FROM r),
+        every AS (SELECT measure_category, unnest(range(lo, hi + 1)) AS number
+                  FROM (SELECT measure_category, MIN(number) AS lo, MAX(number) AS hi FROM n GROUP BY measure_category))
+        SELECT every.measure_category, CAST((every.number - 1) // 4 AS INTEGER) AS measurement_year, CAST((every.number - 1) % 4 + 1 AS INTEGER) AS "quarter",
+               a.performance_rate, b.performance_rate AS prev_quarter_rate
+        FROM every LEFT JOIN n a ON a.measure_category = every.measure_category AND a.number = every.number
+        LEFT JOIN n b ON b.measure_category = every.measure_category AND b.number = every.number - 1)""",
+    "w04_rolling_months_in_time": """
+        SELECT snapshot_month, aid_category, enrolled_members,
+               CAST((20 * SUM(enrolled_members) OVER w + COUNT(*) OVER w) // (2 * COUNT(*) OVER w) AS DOUBLE) / 10 AS rolling_3mo_avg
+        FROM (SELECT snapshot_month, aid_category, COUNT(DISTINCT member_id) AS enrolled_members, year(snapshot_month) * 12 + month(snapshot_month) AS number
+              FROM fact_enrollment WHERE is_active AND month(snapshot_month) % 5 <> 0 GROUP BY ALL)
+        WINDOW w AS (PARTITION BY aid_category ORDER BY number RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+    "w04_running_total_of_days": """
+        SELECT claim_type, service_date, claims, CAST(SUM(claims) OVER (PARTITION BY claim_type ORDER BY service_date) AS BIGINT) AS claims_so_far
+        FROM (SELECT claim_type, service_date, COUNT(*) AS claims FROM fact_claims GROUP BY ALL)""",
+    "w04_rolling_average_of_days": """
+        SELECT claim_type, service_date, claims, CAST((200 * SUM(claims) OVER w + COUNT(*) OVER w) // (2 * COUNT(*) OVER w) AS DOUBLE) / 100 AS rolling_30_avg
+        FROM (SELECT claim_type, service_date, COUNT(*) AS claims FROM fact_claims GROUP BY ALL)
+        WINDOW w AS (PARTITION BY claim_type ORDER BY service_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+    "g03_anonymous_members": anonymous(5, "0.1"),
     "g02_masked_for_pii_reader": "SELECT * FROM dim_provider",
 }.items()}

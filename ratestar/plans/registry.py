@@ -8,16 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ratestar.functions import snippets as s
-from ratestar.operators import checks, masking, ranking, trends
+from ratestar.operators import anonymity, checks, masking, ranking, spans, trends, versions
 from ratestar.operators.changes import snapshot_diff
-from ratestar.plans import questions as q
+from ratestar.plans import questions as q, stored
 from ratestar.operators.metric_view import Condition
 from ratestar.plans.views import CLAIMS, ENROLLMENT, QUALITY
-from ratestar.schema import HIGHER
+from ratestar.schema import HIGHER, TABLES
 from ratestar.session import scratch_folder
 from ratestar.sources import sinks
 from ratestar.sources.order_star import OrderStar
-from ratestar.sources.star import CatalogStar
+from ratestar.sources.star import CatalogStar, FrameStar
 
 YEAR, LAST_YEAR, QUARTER = 2000, 1999, 1
 AS_OF = dt.date(2000, 12, 31)
@@ -76,6 +76,47 @@ def _(star):
     return ENROLLMENT.query(CatalogStar(star.spark, schema), ["plan_id", "is_active"], ["snapshots", "enrolled_members"])
 
 
+@query("s04_typed_tables")
+def _(star):
+    """Columns, types and comments of the typed tables, as the catalog gives them back."""
+    schema = _fresh_schema(star)
+    rows = []
+    for name in TABLES:
+        sinks.create_table(star.spark, schema, name)
+        table, partitions = star.spark.table(f"{schema}.{name}"), TABLES[name].partition_by
+        rows += [(name, f.name, f.dataType.simpleString(), f.metadata["comment"], f.name in partitions) for f in table.schema]
+    return star.spark.createDataFrame(rows, "table_name string, column_name string, type string, comment string, partitions boolean")
+
+
+@query("s05_numbered_batches")
+def _(star):
+    """Batches that are appended twice, and one whose first attempt ended before it was noted as done."""
+    schema = _fresh_schema(star)
+    snapshots = star.table("fact_enrollment")
+    active, ended = snapshots.filter(s.active_members()), snapshots.filter(~s.active_members())
+    sinks.append_batch(active, schema, "fact_enrollment", 1)
+    sinks.append_batch(active, schema, "fact_enrollment", 1)
+    sinks.note_batch(star.spark, schema, "fact_enrollment", 2, "begun")
+    sinks.append(ended.filter(F.month("snapshot_month") <= 6).dropDuplicates(["member_id", "snapshot_month"]), schema, "fact_enrollment")
+    sinks.append_batch(ended, schema, "fact_enrollment", 2)
+    sinks.append_batch(ended, schema, "fact_enrollment", 2)
+    written = CatalogStar(star.spark, schema).table("fact_enrollment")
+    return written.groupBy("is_active", F.year("snapshot_month").alias("year")).agg(
+        F.countDistinct("member_id", "snapshot_month").alias("keys"), F.countDistinct("member_id").alias("members"))
+
+
+@query("s07_schema")
+def _(star):
+    """The tables of a new schema with their comments and properties, as the catalog gives them back."""
+    schema = _fresh_schema(star)
+    rows = []
+    for name in TABLES:
+        sinks.create_table(star.spark, schema, name)
+        properties = {row["key"]: row["value"] for row in star.spark.sql(f"SHOW TBLPROPERTIES {schema}.{name}").collect()}
+        rows.append((name, star.spark.catalog.getTable(f"{schema}.{name}").description, properties.get("quality"), star.spark.catalog.databaseExists(schema)))
+    return star.spark.createDataFrame(rows, "table_name string, comment string, quality string, in_schema boolean")
+
+
 @query("s06_catalog_scan")
 def _(star):
     schema = _fresh_schema(star)
@@ -127,6 +168,11 @@ def _(star):
     return snapshot_diff(_member_year(star, LAST_YEAR), _member_year(star, YEAR), ["member_id"])
 
 
+@query("s11_refreshed_rates")
+def _(star):
+    return stored.refreshed_rates(star, star.spark)
+
+
 # Projections and filters
 
 @query("p01_projection")
@@ -295,6 +341,77 @@ _view("m02_members_and_providers", QUALITY, ["provider_type", "aid_category"],
 _view("m02_distinct_by_provider_type", QUALITY, ["provider_type"], ["total_events", "distinct_members", "distinct_providers"])
 
 
+@query("m08_routed_to_stored")
+def _(star):
+    return stored.routed_rates(star, star.spark)
+
+
+@query("m08_routed_to_larger")
+def _(star):
+    return stored.routed_counties(star, star.spark)
+
+
+@query("a07_people_from_stored")
+def _(star):
+    return stored.people_by_region(star, star.spark)
+
+
+@query("a13_members_from_stored")
+def _(star):
+    return stored.members_by_claim_type(star, star.spark)
+
+
+@query("a14_enrolled_from_stored")
+def _(star):
+    return stored.enrolled_by_region(star, star.spark)
+
+
+@query("a16_monthly_from_stored")
+def _(star):
+    return stored.monthly_active_members(star, star.spark)
+
+
+def _cost(star, by, per):
+    return spans.cost_per_member_month(star, AS_OF, by, per).withColumn("total_paid", F.col("total_paid").cast("double"))
+
+
+@query("a10_cost_per_member_month")
+def _(star):
+    return _cost(star, ["aid_category"], "year").drop("period")
+
+
+@query("a10_cost_per_member_month_by_quarter")
+def _(star):
+    return _cost(star, [], "quarter")
+
+
+def _with_more_definitions(star: OrderStar) -> FrameStar:
+    """Each measure also defined anew for 1994 and, some of them, for 1997, with other thresholds."""
+    measures = star.table("dim_measure")
+    older = measures.withColumn("measurement_year", F.lit(1994)).withColumn("regulatory_threshold", (F.col("regulatory_threshold") - 5).cast("decimal(5,2)"))
+    odd = F.substring("measure_id", -1, 1).isin("1", "3", "5")
+    newer = measures.filter(odd).withColumn("measurement_year", F.lit(1997)).withColumn("regulatory_threshold", (F.col("regulatory_threshold") + 2).cast("decimal(5,2)"))
+    frames = {t: star.table(t) for t in TABLES if t != "dim_measure"}
+    return FrameStar(frames | {"dim_measure": measures.unionByName(older).unionByName(newer)}, TABLES | {"dim_measure": versions.VERSIONED_MEASURES})
+
+
+@query("j08_rates_by_definition")
+def _(star):
+    return versions.rates_by_definition(_with_more_definitions(star))
+
+
+@query("j08_events_with_definitions")
+def _(star):
+    joined = versions.events_with_definitions(_with_more_definitions(star), ["event_id", "quarter"], ["measurement_year", "regulatory_threshold"])
+    return joined.groupBy("measurement_year", "definition_measurement_year", "regulatory_threshold").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("event_ids"))
+
+
+@query("v04_keys_of_definitions")
+def _(star):
+    return checks.repeated_keys(_with_more_definitions(star), ["dim_measure"])
+
+
 @query("m06_window_on_view")
 def _(star):
     rates = QUALITY.query(star, ["measure_category", "measure_name"], ["performance_rate"])
@@ -505,6 +622,62 @@ def _(star):
         s.zero_padded(F.col("o_orderkey") * 100000, 8).alias("wide_key"))
 
 
+# Periods by distance in time: a quarter of every second year is left out
+
+GAPS = Condition(("measurement_year", "quarter"), lambda col: ~((col("measurement_year") % 2 == 0) & (col("quarter") == 2)))
+
+
+def _quarters_with_gaps(star, by="measure_name"):
+    return QUALITY.query(star, [by, "measurement_year", "quarter"], ["performance_rate"], how="inner", conditions=[GAPS])
+
+
+@query("w02_previous_quarter_in_time")
+def _(star):
+    rates = trends.previous_in_time(_quarters_with_gaps(star), ["measure_name"], trends.quarter_number(), "performance_rate", "prev_quarter_rate")
+    return trends.change(rates, "performance_rate", "prev_quarter_rate", "qoq_change")
+
+
+@query("w07_next_quarter_in_time")
+def _(star):
+    rates = trends.previous_in_time(_quarters_with_gaps(star), ["measure_name"], trends.quarter_number(), "performance_rate", "next_quarter_rate", -1)
+    return trends.change(rates, "next_quarter_rate", "performance_rate", "next_change")
+
+
+@query("w08_quarter_of_last_year")
+def _(star):
+    rates = trends.previous_in_time(_quarters_with_gaps(star), ["measure_name"], trends.quarter_number(), "performance_rate", "last_year_rate", 4)
+    return trends.change(rates, "performance_rate", "last_year_rate", "yoy_change")
+
+
+@query("w02_all_quarters")
+def _(star):
+    rates = trends.with_missing_periods(_quarters_with_gaps(star, "measure_category"), ["measure_category"], trends.quarter_number(), "number")
+    number = F.col("number")
+    filled = rates.withColumns({"measurement_year": F.expr("(number - 1) div 4").cast("int"), "quarter": ((number - 1) % 4 + 1).cast("int")})
+    return trends.previous_in_time(filled, ["measure_category"], number, "performance_rate", "prev_quarter_rate").drop("number")
+
+
+@query("w04_rolling_months_in_time")
+def _(star):
+    gaps = ENROLLMENT.query(star, ["snapshot_month", "aid_category"], ["enrolled_members"], where={"is_active": True}).filter(F.month("snapshot_month") % 5 != 0)
+    return trends.rolling_average_in_time(gaps, ["aid_category"], trends.month_number("snapshot_month"), "enrolled_members", "rolling_3mo_avg", 3, 1)
+
+
+def _days(star):
+    return star.table("fact_claims", ["claim_type", "service_date", "paid_amount"]).groupBy("claim_type", "service_date").agg(
+        F.count(F.lit(1)).alias("claims"))
+
+
+@query("w04_running_total_of_days")
+def _(star):
+    return trends.long_running_total(_days(star), ["claim_type"], ["service_date"], "claims", "claims_so_far", block_rows=500)
+
+
+@query("w04_rolling_average_of_days")
+def _(star):
+    return trends.long_rolling_average(_days(star), ["claim_type"], ["service_date"], "claims", "rolling_30_avg", 30, 2, block_rows=500)
+
+
 # Array columns
 
 @query("r01_claims_by_condition")
@@ -649,3 +822,9 @@ def _(star):
 @query("g02_masked_for_pii_reader")
 def _(star):
     return masking.masked(star, "dim_provider", SALT, cleared=["pii"])
+
+
+@query("g03_anonymous_members")
+def _(star):
+    members = anonymity.anonymous_members(star, k=5)
+    return members.groupBy("zip_code", "date_of_birth", "gender", "aid_category").agg(F.count(F.lit(1)).alias("members"))

@@ -125,7 +125,7 @@ PROJECTIONS = {
     "fact_claims": {
         "claim_id": f"concat('CLM', {_padded('o_orderkey', 8)})",
         "member_id": _member("o_custkey"),
-        "provider_npi": _npi("o_orderkey % suppliers"),
+        "provider_npi": _npi("o_orderkey % nullif(suppliers, 0)"),
         "service_date": "o_orderdate",
         "claim_type": "CASE o_orderstatus WHEN 'F' THEN 'IP' WHEN 'O' THEN 'OP' WHEN 'P' THEN 'Prof' END",
         "dx_codes": """CASE o_orderkey % 4 WHEN 0 THEN array('E11.9') WHEN 1 THEN array('I10', 'E11.9')

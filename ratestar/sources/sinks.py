@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratestar.plans.views import CLAIMS, ENROLLMENT, QUALITY
 from ratestar.schema import TABLES, Table
+from ratestar.session import cut_lineage
 from ratestar.sources.star import CatalogStar, Star
 
 
@@ -39,10 +40,15 @@ def create_table(spark: SparkSession, database: str, name: str, replace: bool =
     """An empty typed table with comments, NOT NULL marks and properties.
 
     A table that is there gives way only once the new one stands under another
-    name, so a definition that fails leaves it as it was.
+    name, so a definition that fails leaves it as it was. A call that ended between the drop
+    and the rename is finished by the next one.
     """
-    if replace and spark.catalog.tableExists(f"{database}.{name}"):
-        fresh = f"{name}__fresh"
+    fresh = f"{name}__fresh"
+    there = spark.catalog.tableExists(f"{database}.{name}")
+    if not there and spark.catalog.tableExists(f"{database}.{fresh}"):
+        spark.sql(f"ALTER TABLE {database}.{fresh} RENAME TO {database}.{name}")
+        there = True
+    if replace and there:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{fresh}")
         _create(spark, database, fresh, TABLES[name])
         spark.sql(f"DROP TABLE {database}.{name}")
@@ -88,6 +94,64 @@ def append(df: DataFrame, database: str, name: str) -> None:
     _write(df, database, name, overwrite=False)
 
 
+#: What is known of batches: begun before their rows are written, done after.
+LEDGER = "load_ledger"
+
+
+def _ledger(spark: SparkSession, database: str) -> DataFrame:
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{LEDGER} (table_name STRING COMMENT 'Table written to', batch BIGINT COMMENT 'Number of the batch', "
+              f"state STRING COMMENT 'begun or done', noted_at TIMESTAMP COMMENT 'Time of the note') USING parquet COMMENT 'Batches of rows and how far they came'")
+    return spark.table(f"{database}.{LEDGER}")
+
+
+def batch_state(spark: SparkSession, database: str, name: str, batch: int) -> str | None:
+    """``done``, ``begun`` if an attempt has not ended well, or None."""
+    rows = _ledger(spark, database).filter((F.col("table_name") == name) & (F.col("batch") == batch)).select("state").distinct().collect()
+    states = {row["state"] for row in rows}  # at most two
+    return "done" if "done" in states else "begun" if states else None
+
+
+def note_batch(spark: SparkSession, database: str, name: str, batch: int, state: str) -> None:
+    """A line of the ledger: a batch has ``begun`` or is ``done``."""
+    _ledger(spark, database)
+    spark.sql(f"REFRESH TABLE {database}.{LEDGER}")
+    spark.range(1).select(F.lit(name), F.lit(batch).cast("long"), F.lit(state), F.current_timestamp()).write.insertInto(f"{database}.{LEDGER}")
+
+
+def append_batch(df: DataFrame, database: str, name: str, batch: int) -> bool:
+    """Adds the rows of a numbered batch once, however often it is called; False if they are there already.
+
+    A ledger table notes the batch before and after its rows are written. An attempt that was cut off may have
+    left some of its rows, so the next one adds only those that the table lacks,
+    looking at no other partitions than the batch has rows for. The batch must give the same rows each time, and one
+    writer at a time work on a table. After an attempt that was cut off, rows that equal one of another batch in
+    every column count as written.
+    """
+    spark = df.sparkSession
+    state = batch_state(spark, database, name, batch)
+    if state == "done":
+        return False
+    create_table(spark, database, name, replace=False)
+    if state == "begun":
+        df = _lacking(_conformed(df, TABLES[name]), spark.table(f"{database}.{name}"), TABLES[name])
+    else:
+        note_batch(spark, database, name, batch, "begun")
+    append(df, database, name)
+    note_batch(spark, database, name, batch, "done")
+    return True
+
+
+def _lacking(rows: DataFrame, there: DataFrame, table: Table) -> DataFrame:
+    """Rows that ``there`` lacks, repeated ones counted, within the partitions that the rows belong to.
+
+    The periods of a batch come to the driver, so that only their folders are listed and read.
+    """
+    for column in table.partition_by:
+        periods = [row[0] for row in rows.select(column).distinct().collect()]
+        there = there.filter(F.col(column).isin(periods))
+    return rows.exceptAll(cut_lineage(there.select(*rows.columns)))
+
+
 def with_member_attributes(star: Star, fact: str, attributes: tuple[str, ...]) -> DataFrame:
     """Rows of a fact whose named columns are those of its member; empty where the member is unknown.
 

@@ -8,7 +8,8 @@ from ratestar.plans import questions as q
 from ratestar.plans.registry import QUERIES
 from ratestar.sources.order_star import OrderStar
 
-WRITES = {"s03_full_refresh", "s05_typed_append", "s06_catalog_scan"}
+#: Queries that write first; what they return then reads what was written.
+WRITES = {"s03_full_refresh", "s04_typed_tables", "s05_typed_append", "s05_numbered_batches", "s06_catalog_scan", "s07_schema"}
 
 
 def plan_of(df):

@@ -70,11 +70,14 @@ def test_no_rows(rates):
 
 
 def test_no_task_takes_a_whole_group(rates):
-    for df in (ranking.rank(rates, [], "rate", "r"), ranking.top_n(rates, 3, ["grp"], "rate", "n")):
+    for df in (ranking.rank(rates, [], "rate", "r"), ranking.ntile(rates, 4, ["grp"], "rate", "n")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         windows = [line for line in plan.splitlines() if "Window [" in line]
         assert windows and all("sum(_n" in line or "_block" in line for line in windows)
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # The first rows of a group: map tasks send no more than those, of each part and then of all parts.
+    plan = ranking.top_n(rates, 3, ["grp"], "rate", "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 3 and "CartesianProduct" not in plan
 
 
 def test_a_value_that_most_rows_share_is_spread(spark):
