@@ -13,9 +13,11 @@ import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratestar.llm.memory import tidy_batches
@@ -37,6 +39,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, lines))}
 
 
+def cuts_are_safe(pattern: str) -> bool:
+    """Whether no match of a pattern can go on over a place where texts are cut.
+
+    The pattern is tried on every kind of character before white space of every kind, and on more of
+    both; another pattern than the known ones may still be taken for unsafe, and is then
+    used on whole texts.
+    """
+    compiled = regex.compile(pattern)
+    kinds = ["a", "A", "é", "汉", "1", "٣", ".", "'", "_", "-", "$", "\u0301", "🙂", "'s", "ab1.", "\x00"]
+    blanks = [" ", "\t", "\n", "\r", "  ", " \n", "\r\n", "\n\n "]
+    for before, blank, after in product(kinds, blanks, ["", *kinds]):
+        text = f"x {before}{blank}{after}"
+        cut = 2 + len(before)
+        whole = [m.span() for m in compiled.finditer(text)]
+        parts = [m.span() for m in compiled.finditer(text[:cut])] + [(a + cut, b + cut) for a, b in (m.span() for m in compiled.finditer(text[cut:]))]
+        if whole != parts:
+            return False
+    return True
+
+
 def safe_pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     """The text in pieces whose encodings, joined, are the encoding of the text.
 
@@ -61,12 +83,13 @@ class Codec:
 
         self._encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._known = {"": np.empty(0, dtype="<u4")}
+        self._cuts = cuts_are_safe(pattern)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text; null is the empty text."""
         if not text:
             return self._known[""]
-        if len(text) <= PIECE_CHARS:
+        if len(text) <= PIECE_CHARS or not self._cuts:
             return self._encoding.encode_to_numpy(text, disallowed_special=())
         return np.concatenate([self._encoding.encode_to_numpy(piece, disallowed_special=())
                                for piece in safe_pieces(text)])

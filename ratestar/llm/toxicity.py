@@ -31,7 +31,8 @@ UNLEARNT_BIAS = -1.0
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of learning. sample_rows bounds the labelled documents learnt from."""
+    """Parameters of learning. sample_rows and sample_bytes bound the labelled documents learnt from, about, and
+    longest_bytes strictly the text of each: longer ones are scored whole like all, but not learnt from."""
 
     hash_bits: int = 22
     skips: tuple[int, ...] = (1, 2, 3)
@@ -42,6 +43,8 @@ class Settings:
     positive_weight: float = 2.0
     passes: int = 3
     sample_rows: int = 24_000
+    sample_bytes: int = 192 << 20
+    longest_bytes: int = 4 << 20
     seed: int = 17
 
 
@@ -117,8 +120,8 @@ def learn(labelled: DataFrame, text_col: str, label_col: str, order: Column, set
     """A model from labelled documents (label 0 or 1; rows with other labels are left out).
 
     `order` is any hash of the rows: where there are more than about
-    settings.sample_rows of them, those with the smallest values of it are the
-    sample, and it is also the order of learning. Without any rows with label 0
+    settings.sample_rows of them, or settings.sample_bytes in their texts, those with the smallest values of it are the
+    sample, without texts of over settings.longest_bytes, and it is also the order of learning. Without any rows with label 0
     or 1 nothing speaks against a text: the model scores all alike, under 0.5
     (UNLEARNT_BIAS). The same rows give the same model.
     """
@@ -126,9 +129,12 @@ def learn(labelled: DataFrame, text_col: str, label_col: str, order: Column, set
     ship(spark)
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), order.cast("long").alias("place"))
-    count = rows.count()
-    if count > settings.sample_rows:
-        rows = rows.where(F.pmod("place", F.lit(1 << 30)) < int((1 << 30) * settings.sample_rows / count))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    rows = rows.where(size <= settings.longest_bytes)
+    there = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    share = min(settings.sample_rows / max(1, there["n"]), settings.sample_bytes / max(1, there["bytes"]))
+    if share < 1:
+        rows = rows.where(F.pmod("place", F.lit(1 << 30)) < int((1 << 30) * share))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +208,7 @@ def learn_from_labels(docs: DataFrame, labels: DataFrame, settings: Settings = S
 
     The sample is drawn from the labels, so that only its ids (at most about
     settings.sample_rows) are broadcast to the documents. Labels with null id or
-    null toxic are left out; repeated equal labels count once. If none is left,
+    null toxic are left out; repeated equal labels count once, a document labelled both ways is learnt as each. If none is left,
     or none that has a document, all scores are under 0.5, as in `learn`.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "toxic").distinct()

@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratestar.session import cut_lineage
 
-#: Rules become one expression, so their number is bounded.
-MOST_RULES = 1_000
+#: Up to so many rules become one expression; more are a table that hosts and paths are looked up in.
+MOST_IN_EXPRESSION = 1_000
 DAMPING, STEPS = 0.85, 20
 #: Distrust must be over so many times the trust.
 RATIO = 1.0
@@ -64,9 +64,10 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def winning_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column, Column]:
-    """Text and verdict of the longest rule that fits, null without one; of equal ones a block, then the first, wins."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
+    """Text and verdict of the longest rule that fits, null without one; of equal ones a block, then the first, wins.
+
+    An expression with a branch for each rule.
+    """
     text, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for rule in sorted(reversed(rules), key=lambda r: (len(r.text), r.verdict == "block")):
         fits = ((host == rule.host) | F.endswith(host, F.lit("." + rule.host))) & F.startswith(path, F.lit(rule.path))
@@ -74,6 +75,32 @@ def winning_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[C
     return text, verdict
 
 
+def rules_table(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
+    """(place, text, verdict) of rules."""
+    return spark.createDataFrame([(i, r.text, r.verdict) for i, r in enumerate(rules)], "place long, text string, verdict string")
+
+
+def ruled_by_table(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Adds `rule` and `ruled` to urls with a host and path, as winning_rule does, for any number of rules (place, text, verdict).
+
+    The distinct hosts with their domains meet the rules' hosts first; a host's URLs are joined with the rules that
+    fit it, and those whose path fits are compared. Rows are numbered, and a host with very many is spread over salted keys.
+    """
+    split = F.instr("text", "/")
+    own = rules.select("place", "text", "verdict", F.when(split > 0, F.substring(F.col("text"), F.lit(1), split - 1)).otherwise(F.col("text")).alias("domain"),
+                       F.when(split > 0, F.substring(F.col("text"), split, F.length("text"))).otherwise("").alias("begin"))
+    labels = F.split("host", "[.]")
+    domains = urls.select("host").distinct().select("host", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("domain"))
+    fitting = domains.join(own, "domain").groupBy("host").agg(F.collect_list(F.struct("begin", "text", "verdict", "place")).alias("rules"))
+    salted = fitting.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    with_rules = urls.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
+    # The last in this order wins: the longest, a block before an allow, the first given.
+    best = F.array_max(F.transform(F.filter("rules", lambda r: F.startswith(F.col("path"), r["begin"])), lambda r: F.struct(
+        F.length(r["text"]).alias("length"), (r["verdict"] == "block").alias("blocks"), (-r["place"]).alias("first"), r["text"].alias("text"), r["verdict"].alias("verdict"))))
+    return with_rules.withColumn("best", best).select(*urls.columns, F.col("best.text").alias("rule"), F.col("best.verdict").alias("ruled"))
+
+
 def host_links(pages: DataFrame, host: Column, html_col: str = "html") -> DataFrame:
     """(src, dst): the distinct pairs of a page's host and another host that it links to."""
     links = pages.select(host.alias("src"), F.explode(F.regexp_extract_all(html_col, F.lit(_LINK), 1)).alias("dst"))
@@ -108,7 +135,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, step
     return total.select("kind", "host", (F.col("mass") * (1 - damping)).alias("score"))
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                damping: float = DAMPING, steps: int = STEPS, ratio: float = RATIO) -> DataFrame:
     """A verdict for the URL of every page, by the longest fitting rule or else by the host's scores.
 
@@ -116,14 +143,18 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     (`allow` or `block`), trust and distrust (0 for hosts that neither reaches).
     URLs that are null or have no `://` have an empty host and path, no rule, and
     are allowed. Null html has no links. Rows that repeat an id are judged each
-    by itself, and count each as a page of its host. Scores are compared after
+    by itself, and count each as a page of its host. Rules of any number may be given, as Rule objects or as a table of
+    place, text and verdict; a host with very many rules of its own holds them together. Scores are compared after
     rounding to 12 places. Empty tables give empty results; other columns don't
     matter.
     """
     host, path = host_and_path(F.col(url_col))
     split = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
-    rule, verdict = winning_rule(F.col("host"), F.col("path"), rules)
-    judged = split.withColumns({"rule": rule, "ruled": verdict})
+    if isinstance(rules, tuple) and len(rules) <= MOST_IN_EXPRESSION:
+        rule, verdict = winning_rule(F.col("host"), F.col("path"), rules)
+        judged = split.withColumns({"rule": rule, "ruled": verdict})
+    else:
+        judged = ruled_by_table(split, rules_table(pages.sparkSession, rules) if isinstance(rules, tuple) else rules)
     counts = judged.where("ruled IS NOT NULL").groupBy("ruled", "host").agg(F.count("*").alias("n"))
     totals = counts.groupBy("ruled").agg(F.sum("n").alias("all"))
     seeds = counts.join(F.broadcast(totals), "ruled").select(F.col("ruled").alias("kind"), "host", (F.col("n") / F.col("all")).alias("mass"))

@@ -5,18 +5,23 @@ body. Each revisit is joined as of its time to the latest earlier full response
 of the same canonical URL; its validators are checked against that response, and
 the headers that a 304 may update are merged into the stored ones.
 
-The as-of join is made of windows. One URL may hold a third of all records, so
-time is cut at quantiles and the windows run within a URL and a span of time;
-what an earlier span leaves behind, one response per URL and span, is carried
-over by a second window and joined back. No task holds all records of a URL.
+The as-of join is a running last value in a sort of all records by URL, time and
+number, with revisits before the responses of their time. One URL, and one time of it, may hold a
+third of all records, so the sort is cut into blocks of rows; windows run within a
+URL and a block, and what a block leaves behind, one response per URL, is
+carried over to the later blocks of the URL. No task holds all records of a URL. Revisits without
+a time or canonical URL refer to nothing and are in no sort.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Spans of time between quantiles; the second window has at most so many rows for each URL.
-SPANS = 64
+from ratestar.session import cut_lineage
+
+#: Rows of the sort in one block.
+BLOCK_ROWS = 8_192
+_ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 #: Headers of a 304 response that update the stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that don't choose the content (fixed values).
@@ -44,7 +49,7 @@ def _weak(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
-def resolve_revisits(records: DataFrame, spans: int = SPANS) -> DataFrame:
+def resolve_revisits(records: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """What each revisit record stands for.
 
     records: record_id, url, ts (any ordered number or timestamp), kind
@@ -61,7 +66,8 @@ def resolve_revisits(records: DataFrame, spans: int = SPANS) -> DataFrame:
     validator is given and both digests are and differ. Headers of the revisit in
     PERMITTED replace or extend those of the response. Null headers are no
     headers. Revisits without a time or canonical URL have no earlier response;
-    repeated rows are resolved each by itself. Empty tables give empty results;
+    repeated rows are resolved each by itself. A URL or a time of any number of records is
+    spread over blocks of block_rows. Empty tables give empty results;
     other columns don't matter.
     """
     rows = records.select(
@@ -70,24 +76,27 @@ def resolve_revisits(records: DataFrame, spans: int = SPANS) -> DataFrame:
     full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200), F.lit(False)) & F.col("ts").isNotNull() & F.col("canonical_url").isNotNull()
     rows = rows.where(full | (F.col("kind") == "revisit"))
     response = F.when(full, F.struct("record_id", "headers", "payload_digest"))
-    place = F.when(full, F.struct("ts", "record_id"))
-    numbers = F.col("ts").cast("double") if dict(records.dtypes)["ts"] != "timestamp" else F.unix_micros("ts").cast("double")
-    bounds = rows.select(F.percentile_approx(numbers, [i / spans for i in range(1, spans)], 1000).alias("b")).first()["b"] or []
-    span = sum((F.when(numbers > F.lit(b), 1).otherwise(0) for b in sorted(set(bounds))), F.lit(0))
-    rows = rows.withColumns({"span": span, "response": response, "place": place})
-
-    earlier = Window.partitionBy("canonical_url", "span").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    # The frame ends before rows of the same time: dense numbers stand for times.
-    dense = F.dense_rank().over(Window.partitionBy("canonical_url", "span").orderBy("ts"))
-    near = rows.withColumn("at", dense).withColumn("near", F.max_by("response", "place").over(earlier))
-    left = (rows.where("response IS NOT NULL").groupBy("canonical_url", "span")
-            .agg(F.max_by("response", "place").alias("last"), F.max("place").alias("last_place")))
-    # Every span that holds records of a URL gets what the spans before it left.
-    before = Window.partitionBy("canonical_url").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (rows.groupBy("canonical_url", "span").agg(F.count("*").alias("n")).join(left, ["canonical_url", "span"], "left")
-               .withColumn("carried", F.max_by("last", "last_place").over(before)).select("canonical_url", "span", "carried"))
-    found = (near.where("kind = 'revisit'").join(carried, ["canonical_url", "span"], "left")
-             .withColumn("source", F.coalesce("near", "carried")))
+    rows = rows.withColumn("response", response).withColumn("is_response", full)
+    placed = F.col("canonical_url").isNotNull() & F.col("ts").isNotNull()
+    # A revisit comes before the responses of its time, which are not earlier; what is equal in all is parted by its place in the input.
+    order = ["canonical_url", "ts", "is_response", "record_id", "arrival"]
+    arrived = rows.where(placed).withColumn("arrival", F.monotonically_increasing_id())
+    # Written once, as the bounds of a sort are sampled anew each time it runs.
+    ordered = cut_lineage(arrived.orderBy(*order).withColumn("row", F.monotonically_increasing_id()).drop("arrival"))
+    block = F.struct(F.shiftright("row", _ROW_BITS).alias("part"), F.expr(f"(row & {(1 << _ROW_BITS) - 1}) div {block_rows}").alias("number"))
+    ordered = ordered.withColumn("block", block)
+
+    earlier = Window.partitionBy("canonical_url", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    near = ordered.withColumn("near", F.last("response", ignorenulls=True).over(earlier)).where("NOT is_response")
+    left = ordered.groupBy("canonical_url", "block").agg(F.max_by("response", F.when(F.col("is_response"), F.col("row"))).alias("last"))
+    # Every block that holds records of a URL gets what the blocks before it left.
+    before = Window.partitionBy("canonical_url").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = left.withColumn("carried", F.last("last", ignorenulls=True).over(before)).where("carried IS NOT NULL").select("canonical_url", "block", "carried")
+    source = F.coalesce("near", "carried")
+    columns = ["record_id", "canonical_url", "ts", "headers", "payload_digest"]
+    found = near.join(carried, ["canonical_url", "block"], "left").select(*columns, source.alias("source"))
+    apart = rows.where(~placed & ~F.col("is_response")).select(*columns, F.lit(None).cast(rows.schema["response"].dataType).alias("source"))
+    found = found.unionAll(apart)
 
     etag, modified = F.col("headers")["etag"], F.col("headers")["last-modified"]
     stored = F.col("source.headers")

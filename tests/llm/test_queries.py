@@ -101,7 +101,25 @@ def test_different_texts_of_an_id_are_judged_each(spark):
     assert sorted(map(tuple, corpus_pipeline.without_near_duplicates(spark, docs, "").collect()), key=str) == sorted(want, key=str)
 
 
-def test_run_reads_nothing_twice(spark):
+def test_columns_of_any_name_and_type_come_through(spark):
+    sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
+    clashing = ("n_words n_removed removed kept_text n_hit items spans clean_text id extra row number chunk bucket score component_id class_id "
+                "n_shingles n_tokens ids ids_sha256 bytes toxic quality held_out label features").split()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in clashing})
+    docs = docs.withColumn("a map", F.create_map(F.col("lang"), F.array("doc_id"))).withColumn("a.b", F.struct(F.lit(None).cast("int").alias("x")))
+    docs = docs.unionAll(docs.limit(3)).persist()
+    others = [f"`{c}`" for c in docs.columns if c not in ("text", "n_chars")]
+    want = {r["doc_id"]: r for r in docs.select(*others).collect()}
+    for twice in (docs, docs.unionAll(docs.where("doc_id < 5").withColumn("text", F.concat("text", F.lit(" and other words of another text here"))))):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            found = stage(spark, twice, sf_dir)
+            assert found.columns == docs.columns and [t for _, t in found.dtypes] == [t for _, t in docs.dtypes], name
+            rows = found.select(*others).collect()
+            assert len(rows) > 20 and all(r == want[r["doc_id"]] for r in rows), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_run_keeps_each_id_once(spark):
     sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
     found = corpus_pipeline.run(spark, sf_dir)
     assert found.count() == found.select("doc_id").distinct().count() > 100

@@ -1,17 +1,24 @@
 """Toxicity, Jaccard join, language, substring dedup, decontamination and byte-level BPE on small and odd tables."""
 
+import dataclasses
 import hashlib
+import math
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
+import zstandard
 from pyspark.sql import functions as F
 
 import brute
 from conftest import SF_DIR
 from ratestar.llm import byte_bpe, decontamination, jaccard_join, language_id, substring_dedup, toxicity
+from ratestar.llm.words import mix, split_words
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Null and repeated ids, null, empty and wordless texts, repeated rows, columns with names used inside.
@@ -294,3 +301,92 @@ def test_language_of_odd_rows(spark, odd, nothing):
     assert language_id.identify(nothing, model).count() == 0
     none = language_id.learn(known.limit(0))
     assert {r["lang_pred"] for r in language_id.identify(odd, none).collect()} == {"und"}
+
+
+# Queries of learnt operators against plain versions
+
+def plain_features(text, settings):
+    """Numbers of a text's features: words, and pairs of words some places apart."""
+    hashes = [int(h) for h in split_words(pa.array([text]), toxicity._WORD, lower=True).hashes(seed=settings.seed)]
+    scramble = lambda x: int(mix(np.array([x & (1 << 64) - 1], dtype=np.uint64))[0])
+    pairs = [scramble(scramble(h + skip) ^ hashes[i + skip]) for skip in settings.skips for i, h in enumerate(hashes) if i + skip < len(hashes)]
+    return sorted({h >> 64 - settings.hash_bits for h in hashes + pairs})
+
+
+def plain_weights(samples, settings):
+    """FTRL-proximal over (label, features), a number at a time."""
+    z, n, bias = {}, {}, 1 << settings.hash_bits
+
+    def weight(i):
+        l1 = 0.0 if i == bias else settings.l1
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((settings.beta + math.sqrt(n[i])) / settings.alpha + settings.l2)
+
+    for _ in range(settings.passes):
+        for label, own in samples:
+            before = {i: weight(i) for i in [*own, bias]}
+            error = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(before.values()))))) - label
+            g = error * (settings.positive_weight if label else 1.0)
+            for i, w in before.items():
+                old = n.get(i, 0.0)
+                n[i] = old + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(old)) / settings.alpha * w
+    return {i: weight(i) for i in z}
+
+
+def test_toxicity_query_against_a_plain_version(spark, tmp_path):
+    rng, settings = random.Random(6), toxicity.Settings()
+    rows = [(i, " ".join(rng.choice(["vile", "mean", "Don't", "nice", "day", "the", "café", "x1"][(i % 2) * 3:]) for _ in range(rng.randrange(12)))) for i in range(150)]
+    docs = spark.createDataFrame(rows + [(150, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(0, 140)] + [(3, 0), (1, None), (900, 1)], "doc_id long, toxic int")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = {r["doc_id"]: r["place"] for r in docs.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0").select("doc_id", F.xxhash64("doc_id").alias("place")).collect()}
+    samples = [(float(1 - i % 2), plain_features(dict(rows)[i], settings)) for i in sorted(kept, key=kept.get) if i < 140]
+    weights = plain_weights(samples, settings)
+    got = {r["doc_id"]: r for r in toxicity.op1_toxicity(spark, str(tmp_path)).collect()}
+    assert len(got) == 151
+    for i, text in [*rows, (150, None)]:
+        total = sum(weights.get(f, 0.0) for f in [*plain_features(text or "", settings), 1 << settings.hash_bits])
+        assert abs(got[i]["score"] - 1 / (1 + math.exp(-total))) < 1e-4 and got[i]["held_out"] == (i not in kept)
+    assert len({r["predicted"] for r in got.values()}) == 2
+
+
+def test_the_sample_of_toxicity_is_bounded_by_bytes(spark):
+    rows = [(i, "word " * 400, i % 2) for i in range(300)] + [(300, "vile " * 30000, 1)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    few = dataclasses.replace(toxicity.Settings(), hash_bits=12, sample_bytes=40_000, longest_bytes=10_000, l1=0.0)
+    seen = toxicity.learn(labelled, "text", "toxic", F.xxhash64("doc_id"), few)
+    assert not set(plain_features("vile", few)) & set(seen.feature.tolist()) and set(plain_features("word", few)) <= set(seen.feature.tolist())
+
+
+def test_language_query_against_a_plain_version(spark):
+    sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.learn(docs.where(~language_id.held_out()))
+    s, codes = model.settings, list(model.content)
+    got = {r["doc_id"]: r for r in language_id.op4_language_id(spark, sf_dir).collect()}
+    for row in docs.collect():
+        words = [w for w in regex.findall(r"[\p{L}\p{M}\p{N}]+", row["text"].lower()) if not regex.search(r"\p{N}", w)]
+        data = f" {' '.join(words)} ".encode()
+        level = s.short_level if len(data) <= s.short_bytes else s.level
+        sizes = []
+        for code in codes:
+            own = zstandard.ZstdCompressionDict(model.content[code], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            own.precompute_compress(level=level)
+            packer = zstandard.ZstdCompressor(level=level, dict_data=own, write_content_size=False, write_checksum=False)
+            sizes.append(sum(len(packer.compress(data[i:i + s.piece_bytes])) for i in range(0, len(data), s.piece_bytes)))
+        letters = regex.search(r"\p{L}", row["text"])
+        assert got[row["doc_id"]]["lang_pred"] == (codes[sizes.index(min(sizes))] if letters else "und")
+        assert got[row["doc_id"]]["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
+
+
+def test_other_patterns_are_used_on_whole_texts():
+    assert byte_bpe.cuts_are_safe(public_tokenizers.PATTERN)
+    for pattern in (r"\w+\s*|\W", r"[^ ]+ ?|\s+", r".+|\n"):
+        assert not byte_bpe.cuts_are_safe(pattern)
+    for pattern in (r"\w+\s*|\W", r"[^ ]+ ?|\s+"):
+        text = "ab 1, " * 20_000
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+        assert byte_bpe.Codec(byte_bpe.read_ranks(RANKS), pattern).encode(text).tolist() == encoding.encode_ordinary(text)

@@ -305,9 +305,9 @@ def resolve(records):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("spans", [1, 4, 64])
-def test_revisits_against_a_plain_loop(spark, spans):
-    rng, records = random.Random(spans), []
+@pytest.mark.parametrize("block_rows", [1, 7, 8192])
+def test_revisits_against_a_plain_loop(spark, block_rows):
+    rng, records = random.Random(block_rows), []
     for i in range(500):
         url = rng.choice(["http://hot.com/"] * 5 + ["https://www.a.com/x?utm_id=1", "http://b.com/y#z", None, "odd"])
         key = {"http://hot.com/": "hot", "https://www.a.com/x?utm_id=1": "a", "http://b.com/y#z": "b"}.get(url)
@@ -318,6 +318,42 @@ def test_revisits_against_a_plain_loop(spark, spans):
     records.append(dict(next(r for r in records if r["kind"] == "revisit")))
     schema = "record_id long, url string, key string, ts long, kind string, status int, headers map<string,string>, payload_digest string"
     df = spark.createDataFrame([tuple(r[k] for k in r) for r in records], schema).withColumn("span", F.lit("x")).withColumn("place", F.lit("y"))
-    got = [(r["record_id"], r["refers_to"], r["outcome"], r["headers"], r["payload_digest"]) for r in warc_revisits.resolve_revisits(df, spans).collect()]
+    got = [(r["record_id"], r["refers_to"], r["outcome"], r["headers"], r["payload_digest"]) for r in warc_revisits.resolve_revisits(df, block_rows).collect()]
     assert sorted(got, key=str) == sorted(resolve(records), key=str)
-    assert warc_revisits.resolve_revisits(df.limit(0), spans).count() == 0
+    assert warc_revisits.resolve_revisits(df.limit(0), block_rows).count() == 0
+
+
+def test_a_third_of_the_records_on_one_url_and_time_is_spread(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        i = F.col("id")
+        records = spark.range(240_000).select(
+            i.alias("record_id"), F.when(i % 3 == 0, "http://hot.com/").when(i % 3 == 1, F.concat(F.lit("http://h"), i % 5000, F.lit(".com/"))).alias("url"),
+            F.when(i % 3 == 0, 5).otherwise(i % 100).alias("ts"), F.when(i % 6 == 0, "response").otherwise("revisit").alias("kind"), F.lit(200).alias("status"),
+            F.create_map(F.lit("date"), F.lit("d")).alias("headers"), F.lit("p").alias("payload_digest"))
+        found = warc_revisits.resolve_revisits(records, 1000)
+        placed = found.where("canonical_url IS NOT NULL")
+        sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+        assert found.count() == 200_000 and found.where("canonical_url IS NULL AND outcome <> 'no earlier response'").isEmpty()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_many_rules_are_looked_up_in_a_table(spark, monkeypatch):
+    rng = random.Random(8)
+    hosts = ["com", "a.com", "b.a.com", "org", "x.org", "a", "", "co.uk", "ba.com"]
+    paths = ["", "/", "/en", "/en/", "/en/1", "/EN/"]
+    rules = tuple(url_filter.Rule(rng.choice(["allow", "block"]), rng.choice(hosts) + rng.choice(paths[1:])) for _ in range(25))
+    rules += (url_filter.Rule("block", "org"), url_filter.Rule("allow", "x.org/"), url_filter.Rule("block", "x.org/"))
+    rows = [(i, rng.choice(["http://", "https://", "", "://"]) + rng.choice(hosts + ["www.A.com", "deep.b.a.com", "xa.com", ".com", "com."]) + rng.choice(paths + ["/en/12?x", "#f"]), None)
+            for i in range(400)] + [(None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one = url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+    monkeypatch.setattr(url_filter, "MOST_IN_EXPRESSION", 3)
+    many = url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect())) and many.where("rule IS NOT NULL").count() > 100
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
