@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from ratestar.schema import TABLES
+
 # The star tables as SQL over the raw tables.
 STAR = {
     "dim_county": """
@@ -235,20 +237,21 @@ def cost(by: list[str], period: str) -> str:
         GROUP BY {keys}"""
 
 
-def _catalog_columns() -> str:
-    from ratestar.schema import TABLES
+WRITTEN = ("dim_county", "dim_provider", "dim_member", "fact_enrollment", "fact_claims")
 
-    quoted = lambda text: "'" + text.replace("'", "''") + "'"
-    rows = [f"({quoted(t.name)}, {quoted(f.name)}, {quoted(f.dataType.simpleString())}, {quoted(f.metadata['comment'])}, {f.name in t.partition_by})"
-            for t in TABLES.values() for f in t.columns]
-    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS x(table_name, column_name, type, comment, partitions)"
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
 
-def _catalog_tables() -> str:
-    from ratestar.schema import TABLES
 
-    rows = [f"('{t.name}', '{t.comment}', 'gold', TRUE)" for t in TABLES.values()]
-    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS x(table_name, comment, quality, in_schema)"
+def _catalog_columns() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, {_text(f.dataType.simpleString())} AS type, {_text(f.metadata['comment'])} AS comment, "
+        f"{f.name in TABLES[t].partition_by} AS partitions, COUNT({f.name}) AS filled FROM {t}" for t in WRITTEN for f in TABLES[t].columns)
+
+
+def _catalog_tables() -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, {_text(TABLES[t].comment)} AS comment, 'gold' AS quality, COUNT(*) AS row_count FROM {t}" for t in WRITTEN)
 
 
 #: The ladders of the anonymous members, as SQL over the member table.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -76,16 +77,31 @@ def _(star):
     return ENROLLMENT.query(CatalogStar(star.spark, schema), ["plan_id", "is_active"], ["snapshots", "enrolled_members"])
 
 
-@query("s04_typed_tables")
-def _(star):
-    """Columns, types and comments of the typed tables, as the catalog gives them back."""
+#: Tables that are written to look at them in the catalog.
+WRITTEN = ("dim_county", "dim_provider", "dim_member", "fact_enrollment", "fact_claims")
+
+
+def _written(star: OrderStar) -> CatalogStar:
     schema = _fresh_schema(star)
-    rows = []
-    for name in TABLES:
+    for name in WRITTEN:
         sinks.create_table(star.spark, schema, name)
-        table, partitions = star.spark.table(f"{schema}.{name}"), TABLES[name].partition_by
-        rows += [(name, f.name, f.dataType.simpleString(), f.metadata["comment"], f.name in partitions) for f in table.schema]
-    return star.spark.createDataFrame(rows, "table_name string, column_name string, type string, comment string, partitions boolean")
+        sinks.append(star.table(name), schema, name)
+    return CatalogStar(star.spark, schema)
+
+
+@query("s04_typed_tables")
+def _(star):
+    """Columns, types and comments of written tables, as the catalog gives them back, with the values in each."""
+    catalog = _written(star)
+    found = []
+    for name in WRITTEN:
+        table = star.spark.table(f"{catalog.database}.{name}")
+        counts = table.agg(*[F.count(c).alias(c) for c in table.columns]).unpivot([], table.columns, "column_name", "filled")
+        of = {f.name: (f.dataType.simpleString(), f.metadata["comment"], f.name in TABLES[name].partition_by) for f in table.schema}
+        pick = lambda i: F.create_map(*[F.lit(x) for c, about in of.items() for x in (c, about[i])])[F.col("column_name")]
+        found.append(counts.select(F.lit(name).alias("table_name"), "column_name", pick(0).alias("type"), pick(1).alias("comment"),
+                                   pick(2).alias("partitions"), "filled"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("s05_numbered_batches")
@@ -107,14 +123,16 @@ def _(star):
 
 @query("s07_schema")
 def _(star):
-    """The tables of a new schema with their comments and properties, as the catalog gives them back."""
-    schema = _fresh_schema(star)
-    rows = []
-    for name in TABLES:
-        sinks.create_table(star.spark, schema, name)
-        properties = {row["key"]: row["value"] for row in star.spark.sql(f"SHOW TBLPROPERTIES {schema}.{name}").collect()}
-        rows.append((name, star.spark.catalog.getTable(f"{schema}.{name}").description, properties.get("quality"), star.spark.catalog.databaseExists(schema)))
-    return star.spark.createDataFrame(rows, "table_name string, comment string, quality string, in_schema boolean")
+    """The tables of a new schema with their rows, comments and properties, as the catalog gives them back."""
+    spark, catalog = star.spark, _written(star)
+    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES IN {catalog.database}").collect()]
+    found = []
+    for name in names:
+        properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {catalog.database}.{name}").collect()}
+        comment = spark.catalog.getTable(f"{catalog.database}.{name}").description
+        found.append(catalog.table(name, TABLES[name].columns.names[:1]).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(comment).alias("comment"), F.lit(properties.get("quality")).alias("quality"), "row_count"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("s06_catalog_scan")
