@@ -9,9 +9,9 @@ order of the message. The chunk then makes its hashes once more and reads the
 answers beside them.
 
 A hash that a third of the documents hold occurs once in a chunk's message, so
-it weighs as much as there are chunks. A message needs at least one hash, so
-there are never more messages than hashes; with 64 MB in chunks and buckets,
-messages over 100 TB still hold some six hashes each.
+it weighs as much as there are chunks. Chunks and buckets grow with the root of the
+corpus (`fitting`), so that messages hold some hashes each: at 100 TB of text chunks of
+57 MB and buckets of 170 MB.
 """
 
 from __future__ import annotations

@@ -36,6 +36,8 @@ WINDOW = 10
 SHARD_BYTES = 4 << 20
 #: Words of benchmark items in one broadcast (8 bytes each, and again 80 as phrases in a worker).
 BLOCK_WORDS = 1 << 20
+#: Words of an item that are dealt to blocks together.
+ITEM_WORDS = 1 << 16
 #: Passes over the documents, a block each, in one stage; between more of them the rows are written.
 CHAINED = 4
 
@@ -163,23 +165,30 @@ def _search(batch: pa.RecordBatch, phrases: Phrases) -> pa.RecordBatch:
 _built: dict[int, Phrases] = {}
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """The items' word hashes, in blocks of about block_words words; a block at a time comes to the driver. At least one, if empty."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int, window: int) -> Iterator[list[tuple[str, np.ndarray]]]:
+    """The items' word hashes, long ones in parts, in blocks of about block_words words; a block at a time comes to the driver. At least one, if empty."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = split_words(batch.column("text"), ALPHANUMERIC, lower=True)
-            hashes = words.hashes()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item"), pa.array(words.counts.astype(np.int64)),
-                 pa.array([hashes[a:b].tobytes() for a, b in zip(words.first[:-1], words.first[1:])], pa.binary())],
-                names=["item", "n", "words"])
+            for begin, end in slices(batch.column("text")):
+                part = batch.slice(begin, end - begin)
+                words = split_words(part.column("text"), ALPHANUMERIC, lower=True)
+                hashes, found = words.hashes(), []
+                for item, a, b in zip(part.column("item").to_pylist(), words.first[:-1], words.first[1:]):
+                    # Parts of a long item share the words of a window that begins in one of them.
+                    starts = range(a, max(a + 1, b - window + 1), ITEM_WORDS) if b > a else ()
+                    found += [(item, hashes[at:min(b, at + ITEM_WORDS + window - 1)]) for at in starts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item for item, _ in found], pa.string()), pa.array([len(own) for _, own in found], pa.int64()),
+                     pa.array([own.tobytes() for _, own in found], pa.binary())], names=["item", "n", "words"])
 
     items = (benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
-             .mapInArrow(split, "item string, n long, words binary").where("n > 0"))
+             .mapInArrow(split, "item string, n long, words binary"))
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     count = math.ceil(total / block_words) or 1
+    if count > 1:
+        items = cut_lineage(items)
     for block in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == block).select("item", "words")
+        rows = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(count)) == block).select("item", "words")
         yield [(row["item"], np.frombuffer(row["words"], dtype=np.uint64)) for row in rows.collect()]
 
 
@@ -227,7 +236,7 @@ def decontaminate(
         return run
 
     chained: list[_Block] = []
-    for block in _blocks(benchmark, item_col, item_text_col, block_words):
+    for block in _blocks(benchmark, item_col, item_text_col, block_words, window):
         if len(chained) == CHAINED:
             rows = cut_lineage(rows)
             for done in chained:

@@ -337,8 +337,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT,
-    frequent: int = FREQUENT, combined: int = COMBINED_SHINGLES, chunk_bytes: int = chunks.CHUNK_BYTES,
-    bucket_bytes: int = chunks.BUCKET_BYTES,
+    frequent: int = FREQUENT, combined: int = COMBINED_SHINGLES, chunk_bytes: int | None = None,
+    bucket_bytes: int | None = None,
 ) -> DataFrame:
     """One row per document with its set size, class and component under Jaccard links of word shingles.
 
@@ -359,6 +359,8 @@ def jaccard_components(
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size, count = chunks.text_bytes(rows, F.col("text"))
+    fitting = chunks.fitting(size)
+    chunk_bytes, bucket_bytes = chunk_bytes or fitting[0], bucket_bytes or fitting[1]
     buckets, number = chunks.bucket_count(size, bucket_bytes), chunks.chunk_count(size, count, chunk_bytes)
     chunk = F.pmod(F.xxhash64("id", "text"), F.lit(number)).alias("chunk")
 

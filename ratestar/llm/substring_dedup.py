@@ -126,7 +126,7 @@ def kept_texts(words: Words, keep: np.ndarray) -> pa.Array:
 
 def remove_repeated_windows(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, carry: list[str] | None = None,
-    as_is: bool = False, chunk_bytes: int = chunks.CHUNK_BYTES, bucket_bytes: int = chunks.BUCKET_BYTES,
+    as_is: bool = False, chunk_bytes: int | None = None, bucket_bytes: int | None = None,
 ) -> DataFrame:
     """Removes each word covered by a window of words that also starts in a document with a smaller id.
 
@@ -146,6 +146,8 @@ def remove_repeated_windows(
     extra = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(0).alias("none"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), extra.alias("extra"))
     size, count = chunks.text_bytes(rows, F.col("text"))
+    fitting = chunks.fitting(size)
+    chunk_bytes, bucket_bytes = chunk_bytes or fitting[0], bucket_bytes or fitting[1]
     buckets = chunks.bucket_count(size, bucket_bytes)
     dealt = chunks.in_chunks(rows, chunks.chunk_count(size, count, chunk_bytes), "id", "text")
 

@@ -438,6 +438,6 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = scratch_folder(spark, "tokens")
     tokens, width = tokenize(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    tokens.write.parquet(f"{folder}/ids")
+    tokens.write.option("compression", "zstd").parquet(f"{folder}/ids")
     write_tokens(spark.read.parquet(f"{folder}/ids"), width, f"{folder}/files")
     return read_tokens(spark, f"{folder}/files").select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

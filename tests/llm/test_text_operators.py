@@ -184,6 +184,17 @@ def test_hits_in_odd_rows(spark, odd, settings):
     assert any(w[2] for w in want)
 
 
+@pytest.mark.parametrize("settings", [{"window": 3}, {"window": 3, "block_words": 8}])
+def test_long_items_are_dealt_in_parts(spark, odd, monkeypatch, settings):
+    """Items with null ids, long ones too, do not meet in one block, and no window at a border is lost."""
+    items = spark.createDataFrame([(None, "e f g h i j k l m n o p"), (None, "a b c d x e f g"), (2, "l m n")], "item_id long, text string")
+    whole = sorted(map(str, decontamination.decontaminate(odd, items, **settings).collect()))
+    monkeypatch.setattr(decontamination, "ITEM_WORDS", 2)
+    sizes = [sum(len(words) for _, words in block) for block in decontamination._blocks(items, "item_id", "text", settings.get("block_words", 1000), 3)]
+    assert max(sizes) < 40 and (len(sizes) > 3) == ("block_words" in settings)
+    assert sorted(map(str, decontamination.decontaminate(odd, items, **settings).collect())) == whole and any("items=['', '2']" in row for row in whole)
+
+
 def test_a_stage_holds_few_blocks_and_the_driver_one(spark, odd, monkeypatch):
     items = spark.createDataFrame([(i, f"p{i} q{i} r{i}") for i in range(60)] + ITEMS, "item_id long, text string")
     blocks, block, events = decontamination._blocks, decontamination._Block, []

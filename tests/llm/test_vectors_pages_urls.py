@@ -231,8 +231,12 @@ def test_rules_hosts_and_paths(spark):
     assert sorted((r["page_id"] or 0, r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == sorted(
         [(i, *c[1:]) for i, c in enumerate(cases)] + [(1, *cases[1][1:])], key=lambda x: (x[0], x[1]))
     assert url_filter.judge_urls(pages_frame(spark, [])).count() == 0
-    with pytest.raises(ValueError):
-        url_filter.winning_rule(F.col("host"), F.col("path"), (url_filter.Rule("allow", "a/"),) * 1001)
+    # Beyond what one expression holds the rules are a table.
+    more = url_filter.RULES + tuple(url_filter.Rule("block", f"h{i}.net/") for i in range(url_filter.MOST_IN_EXPRESSION))
+    again = url_filter.judge_urls(pages_frame(spark, rows + [(99, "http://a.h7.net/x", None)]), more).collect()
+    assert sorted((r["page_id"] or 0, r["rule"], r["verdict"]) for r in again if r["page_id"] != 99 and r["rule"]) == sorted(
+        (r["page_id"] or 0, r["rule"], r["verdict"]) for r in got if r["rule"])
+    assert [(r["rule"], r["verdict"]) for r in again if r["page_id"] == 99] == [("h7.net/", "block")]
 
 
 def test_walks_agree_with_matrix_powers(spark):
