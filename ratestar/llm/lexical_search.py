@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ratestar.llm import chunks, k2_treap
 from ratestar.llm.memory import tidy_batches
@@ -106,7 +107,7 @@ def build_index(docs: DataFrame, size: tuple[int, int], id_col: str = "doc_id",
     Documents without terms are left out. Rows that repeat an id are documents of their own.
     """
     ship(docs.sparkSession)
-    kind = T._parse_datatype_string(_INDEX)
+    names = [field.split(" ")[0] for field in _INDEX.split(", ")]
 
     def emit(held: list[tuple[list[int | None], pa.Array]]) -> Iterator[pa.RecordBatch]:
         ids = [i for part, _ in held for i in part]
@@ -114,9 +115,7 @@ def build_index(docs: DataFrame, size: tuple[int, int], id_col: str = "doc_id",
         held.clear()
         if found:
             types = [pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(found, types)], names=_names)
-
-    _names = kind.fieldNames()
+            yield pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(found, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size_held, docs_held = [], 0, 0
@@ -135,7 +134,7 @@ def build_index(docs: DataFrame, size: tuple[int, int], id_col: str = "doc_id",
             yield from emit(held)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(tidy_batches(run), kind)
+    return rows.mapInArrow(tidy_batches(run), _INDEX)
 
 
 # The search
@@ -261,8 +260,6 @@ def search(index: DataFrame, items: DataFrame, size: tuple[int, int], k: int = 1
 
         return index.mapInArrow(tidy_batches(run), schema)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     kind = to_arrow_type(item_type)
     found = None
     for block in _blocks(items, item_col, text_col, block_pairs):
