@@ -9,8 +9,8 @@ for it exactly once. The scan ends when no phrase is in its cycle.
 
 What a scan knows is a sketch: a byte array of bounded size with the step in which a slot
 was first taken by a phrase that had reached the threshold. A phrase has two slots, and
-counts as having reached it in the later of both steps. Where slots are shared, phrases are counted that
-need not be, each over one full cycle all the same, so results do not depend
+counts as having reached it in the later of both steps, and not before the first step it is active in. Where slots
+are shared, phrases are counted that need not be, each over one full cycle all the same, so results do not depend
 on the size of the sketch.
 
 Chunks of blocks send their distinct active phrases as packed hashes with counts to
@@ -130,13 +130,15 @@ class _Phrases:
             yield length, places, hashes, before
             if length == longest or not len(places):
                 return
-            reached = np.full(len(self._words) + 1, _NEVER, dtype=np.uint8)
-            reached[places] = self.steps(hashes)
+            reached = np.full(len(self._words) + 1, _NEVER, dtype=np.int64)
+            steps = self.steps(hashes)
+            # Slots that others took earlier make no phrase reach the threshold before it is counted.
+            reached[places] = np.where(steps == _NEVER, _NEVER, np.maximum(steps, before + 1))
             both = (reached[places] != _NEVER) & (reached[places + 1] != _NEVER)
             if length == 1:
                 both[:-1] &= self._same
             places, hashes = places[both], hashes[both]
-            before = np.maximum(reached[places], reached[places + 1]).astype(np.int64)
+            before = np.maximum(reached[places], reached[places + 1])
             hashes = mix(hashes * _U(0x9E3779B97F4A7C15) + self._words[places + length])
 
 
@@ -154,7 +156,7 @@ def _messages(blocks: list[tuple[int, str, bytes]], step: int, shards: int, long
     for place, (_, lang, data) in enumerate(blocks):
         for length, _, own, before in _Phrases(lang, data, sketch).lengths(longest):
             # Active from before + 1 to before + shards.
-            own = own[before + shards >= step]
+            own = own[(before < step) & (before + shards >= step)]
             hashes.append(own)
             tags.append(np.full(len(own), langs.index(lang) << 3 | length, dtype=np.int64))
             sources.append(np.full(len(own), place, dtype=np.int64))

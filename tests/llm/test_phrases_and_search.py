@@ -81,6 +81,21 @@ def test_a_saturated_sketch_changes_nothing(spark):
     assert sorted(map(tuple, got.collect())) == mined(rows, 4)
 
 
+@pytest.mark.parametrize("slot_bits", [5, 8])
+def test_shared_slots_cut_no_cycle_short(spark, slot_bits):
+    """Words that get frequent late, in phrases whose slots others have taken before."""
+    rng, rows = np.random.default_rng(0), []
+    for i in range(240):
+        text = ""
+        for _ in range(6):
+            k, late = int(rng.integers(0, 30)), int(rng.integers(0, 60 if i >= 72 else 10))
+            text += f"t{late} w{k} w{(k * 7 + 1) % 60} w{(k * 3 + 2) % 60} w{k + 5}. "
+        rows.append(("en", text))
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(8)
+    got = phrase_mining.mine_phrases(docs, threshold=8, top=None, slot_bits=slot_bits)
+    assert sorted(map(tuple, got.collect())) == mined(rows, 8)
+
+
 def test_no_phrases(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert phrase_mining.mine_phrases(empty).collect() == []
