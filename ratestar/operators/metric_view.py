@@ -13,7 +13,7 @@ A query names dimensions, measures and filters and gets a DataFrame:
   aggregated once. Distinct counts over reference tables alone, which reduce to
   nothing smaller than the values counted, are joined first too;
 * which of these it is follows from the definition, not from sizes. No table is
-  counted and nothing is hinted; Spark's threshold decides what is broadcast;
+  counted; Spark's threshold decides what is broadcast, but salted copies never are;
 * measures are sums of partial sums, so every total is exact.
 """
 
@@ -255,7 +255,8 @@ class MetricView:
             other = other.select(*dict.fromkeys([*plain, *[d.column for d in named if d.table == table]]))
             match = F.col(f"source.{keys[table]}") == F.col(f"{table}.{keys[table]}")
             if direct and table in growing:
-                other = other.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+                # Spark takes the copies for one row, so its threshold would let them be broadcast.
+                other = other.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
                 match = match & (F.col("source._salt") == F.col(f"{table}._part"))
             rows = rows.join(other.alias(table), match, how)
         for dimension, wanted in filters:

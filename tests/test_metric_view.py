@@ -229,6 +229,13 @@ def test_rows_of_two_growing_tables_are_joined_under_salted_keys(star):
     assert "_salt" not in plan_of(QUALITY.query(star, ["provider_type"], ["numerator", "distinct_members"]))
 
 
+def test_salted_copies_are_not_broadcast(star):
+    for dimensions, measures in ((["provider_type", "aid_category"], ["denominator", "distinct_members", "distinct_providers"]),
+                                 (["measure_category", "region", "provider_type", "gender"], ["total_events", "denominator"])):
+        joins = [line for line in plan_of(QUALITY.query(star, dimensions, measures)).splitlines() if "Join" in line and "_part#" in line]
+        assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins)
+
+
 def test_conditions_over_one_and_two_tables(spark):
     star = star_of(spark, dim_measure=[measure(), measure("M2", "Two", high_priority_flag=False)], dim_provider=[provider(), provider("P2", "Bob", "FQHC")],
                    fact_quality_events=[event(), event("M2"), event("M2", provider_npi="P2", quarter=2), event("M1", provider_npi="P2", quarter=3), event(None, quarter=2)])
