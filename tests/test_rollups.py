@@ -116,3 +116,10 @@ def test_regions_need_the_bitmaps_only_once_each(routed, star):
     added = by_county.groupBy("region").agg(F.sum("distinct_members").alias("n"))
     joined = found.join(added, "region").collect()
     assert joined and all(r["distinct_members"] <= r["n"] for r in joined)
+
+
+def test_changes_are_looked_for_in_the_columns_that_rates_come_from(star):
+    from ratestar.plans import stored
+
+    assert set(stored.earlier(star).table("fact_quality_events").columns) == set(stored.CHANGING)
+    assert {"event_id", "in_numerator", "measure_id"} < set(stored.CHANGING) and "member_id" not in stored.CHANGING
