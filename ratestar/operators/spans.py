@@ -61,8 +61,7 @@ def cost_per_member_month(star: Star, until: dt.date, by: Sequence[str] = (), pe
     length = PERIODS[per]
     claims = star.table("fact_claims", ["member_id", "service_date", "paid_amount"])
     paid = claims.select("member_id", F.year("service_date").alias("year"), F.expr(f"(month(service_date) - 1) div {length} + 1").cast("int").alias("period"),
-                         "paid_amount").filter(F.col("year") <= until.year)
-    paid = paid.groupBy("member_id", "year", "period").agg(F.sum("paid_amount").alias("paid"), F.count(F.lit(1)).alias("claims"))
+                         F.col("paid_amount").alias("paid"), F.lit(1).cast("long").alias("claims")).filter(F.col("year") <= until.year)
     months = member_months(star, until, per)
     rows = months.unionByName(paid, allowMissingColumns=True)
     if by:

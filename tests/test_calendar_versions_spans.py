@@ -239,3 +239,8 @@ def test_claims_without_suppliers(spark, tmp_path):
         rows = OrderStar(spark, SF_DIR).raw(name)
         (rows.limit(0) if name == "supplier" else rows.limit(10)).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert [r["provider_npi"] for r in OrderStar(spark, str(tmp_path)).table("fact_claims", ["provider_npi"]).collect()] == [None] * 10
+
+
+def test_claims_are_summed_once_per_member_and_period(star):
+    plan = spans.cost_per_member_month(star, dt.date(2000, 12, 31), ["aid_category"])._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(member_id" in line and "period" in line for line in plan.splitlines()) == 1
