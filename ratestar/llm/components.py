@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ratestar.session import cut_lineage
+from ratestar.session import collect_garbage, cut_lineage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,9 +28,11 @@ def components(links: DataFrame) -> DataFrame:
             .select("e.*").where("u > v").distinct())
         after = cut_lineage(small)
         # Stars are done when no node that points down is pointed at, and none points at two.
-        down = after.agg(F.count("*").alias("n"), F.countDistinct("u").alias("nodes")).first()
-        done = down["n"] == down["nodes"] and after.join(after.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
+        ends = after.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down")),
+                                              F.struct(F.col("v").alias("node"), F.lit(0).alias("down")))).alias("e"))
+        done = ends.groupBy("e.node").agg(F.sum("e.down").alias("down"), F.count("*").alias("n")).where("down > 0 AND n > 1").isEmpty()
         stars = after
+        collect_garbage(links.sparkSession)
         if done:
             break
     return stars.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionAll(

@@ -37,7 +37,7 @@ from ratestar.llm.components import components
 from ratestar.llm.memory import tidy_batches, tidy_cogroup, tidy_group
 from ratestar.llm.package import ship
 from ratestar.llm.words import BLANK_SEPARATED, Words, mix, run_hashes, slices, split_words
-from ratestar.session import cut_lineage
+from ratestar.session import collect_garbage, cut_lineage
 
 SHINGLE = 4
 PERCENT = 85
@@ -279,11 +279,12 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int, same: DataFrame |
         links = links.unionAll(same)
     comps = cut_lineage(components(links))
     # Members outside their pivot's component, against all members: those pairs that their differences don't rule out.
+    labelled = _labelled(compared, comps)
+    if labelled.where("outside AND size(other) > 0").isEmpty():
+        return comps
     groups = None
     for turn in range(TURNS):
-        rows = _difference_rows(compared, comps)
-        if turn == 0 and rows.where("other").isEmpty():
-            return comps
+        rows = _difference_rows(labelled)
         # Where several components meet, all are compared with one more member, another one each turn.
         groups = rows.groupBy("pivot", "element").agg(
             F.min("comp").alias("least"), F.max("comp").alias("most"),
@@ -296,8 +297,10 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int, same: DataFrame |
             break
         links = cut_lineage(links.unionAll(new))
         comps = cut_lineage(components(links))
+        labelled = _labelled(compared, comps)
+        collect_garbage(links.sparkSession)
     # What is left differs from its centers too: pairs of different components that share an element.
-    rows = _difference_rows(compared, comps).join(groups.select("pivot", "element"), ["pivot", "element"], "left_semi")
+    rows = _difference_rows(labelled).join(groups.select("pivot", "element"), ["pivot", "element"], "left_semi")
 
     def side(rows: DataFrame, end: str) -> DataFrame:
         return rows.select("pivot", "element", *[F.col(c).alias(c + end) for c in ("id", "n", "unshared", "d", "comp")])
@@ -312,16 +315,20 @@ def _linked(entries: DataFrame, sets: DataFrame, percent: int, same: DataFrame |
     return components(links.unionAll(verified))
 
 
-def _difference_rows(compared: DataFrame, comps: DataFrame) -> DataFrame:
-    """A row for each element by which a set's difference from its pivot is looked up, as any member or as an `other` one.
+def _labelled(compared: DataFrame, comps: DataFrame) -> DataFrame:
+    """All sets that were compared with a pivot that has others, and their components.
 
-    Others are not linked to their pivot, and not in its component either. Pivots without others have no rows.
+    Others are `outside`: not linked to their pivot, and not in its component either. Written, as
+    each turn reads it several times.
     """
     labelled = (compared.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
                 .join(comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp")), "pivot", "left")
                 .withColumn("outside", (F.col("comp") != F.coalesce("pivot_comp", "pivot")) & ~F.col("linked")))
-    labelled = labelled.join(labelled.where("outside").select("pivot").distinct(), "pivot", "left_semi")
+    return cut_lineage(labelled.join(labelled.where("outside").select("pivot").distinct(), "pivot", "left_semi"))
+
 
+def _difference_rows(labelled: DataFrame) -> DataFrame:
+    """A row for each element by which a set's difference from its pivot is looked up, as any member or as an `other` one."""
     def rows(some: DataFrame, column: str, other: bool) -> DataFrame:
         return some.select("pivot", F.explode(column).alias("element"), "id", "n", "unshared", "d", "comp", F.lit(other).alias("other"))
 

@@ -20,6 +20,9 @@ SETTINGS = {
     "spark.checkpoint.compress": "true",
 }
 
+#: Bytes; spark.sql.defaultSizeInBytes unless it is set.
+LARGEST_ESTIMATE = 2 ** 63 - 1
+
 
 def build_session(master: str | None = None, name: str = "ratestar", **settings: str) -> SparkSession:
     """A session with the settings above.
@@ -66,8 +69,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Unlike a cached frame the result survives the loss of executors, and it is
     the same on every read, which a range-partitioned frame is not: its bounds
     are sampled anew each time it runs.
+
+    Spark keeps its estimate of the size with the written frame, and that of a
+    join is the product of both sides. Frames made of each other in turns would
+    square it each time, until the numbers alone fill the driver. From 8 EB on,
+    Spark's own figure for an unknown size, it counts as unknown.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
+    written = df.checkpoint()
+    plan = written._jdf.queryExecution().logical()
+    if plan.stats().sizeInBytes() < LARGEST_ESTIMATE:
+        return written
+    jvm, session = spark._jvm, spark._jsparkSession
+    unknown = jvm.org.apache.spark.sql.execution.LogicalRDD(
+        plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(), False, plan.stream(), session,
+        jvm.scala.Option.empty(), jvm.scala.Option.apply(plan.constraints()))
+    return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, unknown), spark)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Let go of frames, shuffles and checkpoint files that nothing refers to any more.
+
+    Spark does so when the driver's collector happens to come by, which lets the
+    heap grow to its limit first. Loops of many small jobs call this each time.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
-    return df.checkpoint()
+    spark._jvm.System.gc()

@@ -134,6 +134,40 @@ def test_no_pairs_within_a_group(spark, make, least):
     assert sum(seen) < 5 * len(docs)
 
 
+def twins(pairs, others):
+    """Pairs of near copies that share a beginning; the sentences they are made of are more frequent than that."""
+    rng = random.Random(13)
+    header = " ".join(f"h{i}" for i in range(40))
+    pool = ["one two three " + " ".join(f"s{i}_{j}" for j in range(10)) for i in range(24)]
+
+    def body():
+        return " ".join(pool[i] for i in sorted(rng.sample(range(24), 12)))
+
+    for i in range(pairs):
+        same = body()
+        yield 2 * i, f"a{i} {header} {same}", "x"
+        yield 2 * i + 1, f"b{i} {header} {same}", "x"
+    for i in range(2 * pairs, 2 * pairs + others):
+        yield i, f"c{i} {body()}", "x"
+
+
+def test_the_driver_keeps_little_over_many_turns(spark, monkeypatch):
+    """Each turn joins the frames of the one before; Spark's estimate of their size had four times the digits each time."""
+    docs, sizes, turns = list(twins(150, 350)), [], []
+    cut, labelled = jaccard_join.cut_lineage, jaccard_join._labelled
+
+    def noted(df):
+        written = cut(df)
+        sizes.append(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        return written
+
+    monkeypatch.setattr(jaccard_join, "cut_lineage", noted)
+    monkeypatch.setattr(jaccard_join, "_labelled", lambda *frames: turns.append(1) or labelled(*frames))
+    found = as_dict(jaccard_join.jaccard_components(frame(spark, docs)))
+    assert found == brute.components([d[:2] for d in docs])
+    assert len(turns) > 2 and max(sizes) <= 2 ** 63 - 1
+
+
 # Substring dedup
 
 def removed(df):
