@@ -123,3 +123,23 @@ def test_run_keeps_each_id_once(spark):
     sf_dir = SF_DIR.rsplit("/", 1)[0] + "/sf0.001"
     found = corpus_pipeline.run(spark, sf_dir)
     assert found.count() == found.select("doc_id").distinct().count() > 100
+
+
+def test_estimates_in_the_stage_of_near_duplicates_stay_small(spark, monkeypatch):
+    """Rows of copies that share a beginning: what Spark keeps of the size of written frames must not grow with their joins."""
+    from ratestar.llm import components, jaccard_join
+
+    header = " ".join(f"h{i}" for i in range(40))
+    rows = [(2 * k + own, f"{'ab'[own]}{k} {header} " + " ".join(f"t{k}_{i}" for i in range(80))) for k in range(30) for own in range(2)]
+    sizes, cut = [], jaccard_join.cut_lineage
+
+    def noted(df):
+        written = cut(df)
+        sizes.append(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        return written
+
+    for module in (components, jaccard_join):
+        monkeypatch.setattr(module, "cut_lineage", noted)
+    kept = corpus_pipeline.without_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2 * k for k in range(30)]
+    assert len(sizes) > 5 and max(sizes) <= 2 ** 63 - 1
