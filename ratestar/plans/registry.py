@@ -125,7 +125,8 @@ def _(star):
 def _(star):
     """The tables of a new schema with their rows, comments and properties, as the catalog gives them back."""
     spark, catalog = star.spark, _written(star)
-    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES IN {catalog.database}").collect()]
+    # Views of the session are listed with the tables of every schema.
+    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES IN {catalog.database}").collect() if not row["isTemporary"]]
     found = []
     for name in names:
         properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {catalog.database}.{name}").collect()}

@@ -27,6 +27,14 @@ def test_query(spark, con, name):
     assert not found, "\n".join(found[:5])
 
 
+def test_views_of_the_session_are_no_tables_of_a_schema(spark, con):
+    spark.range(1).createOrReplaceTempView("a_view_of_the_session")
+    try:
+        assert not differences(con, QUERIES["s07_schema"](spark, SF_DIR), ORACLES["s07_schema"])
+    finally:
+        spark.catalog.dropTempView("a_view_of_the_session")
+
+
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
 
